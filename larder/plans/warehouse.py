@@ -13,10 +13,17 @@ import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import baselines, boosting, features, quality, replenish, risk
+from ..operators.features import history_and_holdout
 from ..session import settle, shared_folder
 from ..sources import panel as derive
 from ..sources.scan import scan_parquet
+from ..sources.tables import TABLES
+
+# Fewer, larger steps than the learner's defaults: a trial fit, not a final one.
+TRIAL_BOOSTING = boosting.BoostingParams(max_rounds=20, learning_rate=0.15, max_depth=5)
 
 # Order lines per bucket file; 100 TB of lines comes to some thousands of buckets.
 LINES_PER_BUCKET = 50_000_000
@@ -74,6 +81,73 @@ class Warehouse:
     def sales_ahead(self) -> DataFrame:
         return derive.derive_sales_ahead(self.panel)
 
+    # Stage results, each written once and read by the stages after it.
+
+    @cached_property
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        return history_and_holdout(self.panel)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return settle(baselines.series_profile(self.split[0]), "profile")
+
+    def moving_average(self) -> DataFrame:
+        holdout = self.split[1]
+        return baselines.moving_average(self.profile, baselines.horizon_dates(holdout), holdout)
+
+    def seasonal_naive(self) -> DataFrame:
+        holdout = self.split[1]
+        return baselines.seasonal_naive(self.profile, baselines.horizon_dates(holdout), holdout)
+
+    @cached_property
+    def forecasts(self) -> DataFrame:
+        return settle(self.moving_average(), "forecasts")
+
+    def availability(self) -> DataFrame:
+        return risk.recent_availability(self.panel, self.forecasts.agg(F.min("date")).scalar())
+
+    def score_risk(self) -> DataFrame:
+        scored = risk.stockout_risk(self.forecasts, self.availability())
+        return risk.with_product(scored, self.inventory)
+
+    @cached_property
+    def risk(self) -> DataFrame:
+        return settle(self.score_risk(), "risk")
+
+    @cached_property
+    def recommendations(self) -> DataFrame:
+        return settle(replenish.recommendations(self.risk), "recommendations")
+
+    @cached_property
+    def one_hot_values(self) -> dict[str, list[str]]:
+        sold = self.inventory
+        return {
+            "warehouse": features.categories(sold, "warehouse"),
+            features.CATEGORY: features.categories(sold, features.CATEGORY),
+        }
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return settle(
+            features.feature_frame(self.panel, self.calendar, self.inventory, self.one_hot_values), "features"
+        )
+
+    @cached_property
+    def boosted(self) -> boosting.BoostedForecast:
+        names = features.feature_columns(self.one_hot_values)
+        return boosting.boosted_forecast(self.features, names, TRIAL_BOOSTING)
+
+    @cached_property
+    def boosted_predictions(self) -> DataFrame:
+        return settle(self.boosted.predictions, "boosted")
+
+    @cached_property
+    def quality_report(self) -> DataFrame:
+        return settle(quality.full_report(self.tables(), TABLES), "quality")
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in TABLES}
+
     def table(self, name: str) -> DataFrame:
         attribute = {
             "sales_train": "panel",

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
-from .scan import scan_parquet
-from .tables import CALENDAR, DISCOUNTS, INVENTORY, SALES, SALES_AHEAD, WEIGHTS, select_declared
+from .scan import scan_parquet, select_declared
+from .tables import CALENDAR, DISCOUNTS, INVENTORY, SALES, SALES_AHEAD, WEIGHTS
 
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 CATALOGUE_ONLY_IDS = (900001, 900002)
@@ -120,7 +120,7 @@ def derive_inventory(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     )
     region = scan_parquet(spark, f"{sf_dir}/region.parquet")
     unsold = region.agg(F.min("r_name").alias("warehouse")).select(
-        F.explode(F.lit(list(CATALOGUE_ONLY_IDS))).cast("long").alias("unique_id"), "warehouse"
+        F.explode(F.lit(list(CATALOGUE_ONLY_IDS)).cast("array<bigint>")).alias("unique_id"), "warehouse"
     )
     unsold = unsold.select(
         "unique_id",
