@@ -34,6 +34,15 @@ def mean_of(total: Column, count: Column) -> Column:
     return ratio(total.cast("double"), count)
 
 
+def steady_sum(value: Column) -> Column:
+    """Sum on a fixed grid of 1e-9, the same whatever order the tasks add in.
+
+    For totals that are rounded or banded afterwards, where the last bit of a
+    double could move a row across an edge from one run to the next.
+    """
+    return F.sum(value.cast("decimal(28,9)")).cast("double")
+
+
 def clip(value: Column, low: float, high: float) -> Column:
     """Bound a value; NULL stays NULL (greatest/least alone would skip it)."""
     bounded = F.greatest(F.least(value, F.lit(float(high))), F.lit(float(low)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clip, half_even
+from ..functions.numeric import clip, half_even, mean_of, steady_sum
 from .demand import LOW_AVAILABILITY
 
 RECENT_DAYS = 28
@@ -28,7 +28,7 @@ def recent_availability(panel: DataFrame, window_end: Column, days: int = RECENT
         panel.filter((F.col("date") >= F.date_sub(window_end, days)) & (F.col("date") < window_end))
         .groupBy("unique_id")
         .agg(
-            F.avg("availability").alias("recent_availability"),
+            mean_of(steady_sum(F.col("availability")), F.count("availability")).alias("recent_availability"),
             F.count(F.lit(1)).alias("n_days_observed"),
             F.count_if(low).alias("low_avail_days"),
         )
@@ -46,7 +46,7 @@ def tier(unmet: Column, fraction: Column) -> Column:
 
 def stockout_risk(forecasts: DataFrame, availability: DataFrame) -> DataFrame:
     """Expected demand, unmet units, their share and the tier of each series."""
-    demand = forecasts.groupBy("unique_id").agg(F.sum("prediction").alias("forecast_units"))
+    demand = forecasts.groupBy("unique_id").agg(steady_sum(F.col("prediction")).alias("forecast_units"))
     units = F.col("forecast_units")
     shortfall = clip(F.lit(1.0) - F.col("assumed_future_availability"), 0, 1)
     fraction = half_even(F.col("estimated_unmet_units") / F.greatest(units, F.lit(SMALLEST_DEMAND)), 4)

@@ -79,7 +79,7 @@ class Warehouse:
 
     @cached_property
     def sales_ahead(self) -> DataFrame:
-        return derive.derive_sales_ahead(self.panel)
+        return settle(derive.derive_sales_ahead(self.panel), "sales_ahead")
 
     # Stage results, each written once and read by the stages after it.
 
