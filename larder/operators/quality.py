@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,6 @@ MAX_NULL_SHARE = 0.5
 MAX_OUTLIER_SHARE = 0.001
 EXAMPLES = 10
 
-RESULT_SCHEMA = "table_name string, check_name string, status string, details string"
-
 
 class ValidationFailed(RuntimeError):
     """At least one check failed; downstream stages must not run."""
@@ -89,51 +87,47 @@ def _text_map(values: Mapping[str, str]) -> Column:
 
 
 # --- one pass over a table: null counts and impossible values ---------------
+#
+# These expressions are SQL text: a wide table has hundreds of them, and text
+# is parsed in one call where columns would be built one call per operator.
 
 _IMPOSSIBLE = {
-    "negative_sales": ("sales", lambda c: c < 0),
-    "negative_price": ("sell_price_main", lambda c: c < 0),
-    "availability_outside_0_1": ("availability", lambda c: (c < 0) | (c > 1)),
+    "negative_sales": ("sales", "{0} < 0"),
+    "negative_price": ("sell_price_main", "{0} < 0"),
+    "availability_outside_0_1": ("availability", "{0} < 0 OR {0} > 1"),
 }
 
 
-def _numeric_rules(columns: list[str]) -> tuple[dict[str, Column], dict[str, Column]]:
-    impossible = {
-        rule: test(F.col(column)) for rule, (column, test) in _IMPOSSIBLE.items() if column in columns
-    }
-    outliers = {
-        f"{c}_outside_0_1": (F.col(c) < 0) | (F.col(c) > 1) for c in columns if c.endswith("_discount")
-    }
-    return impossible, outliers
+def _counts(rules: Mapping[str, str]) -> str:
+    """A map from rule name to the number of rows that meet its condition."""
+    pairs = ", ".join(f"'{name}', count_if({condition})" for name, condition in rules.items())
+    return f"CAST(map({pairs}) AS MAP<STRING, BIGINT>)"
 
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Row count, nulls per column and rule violations, in one aggregate."""
-    impossible, outliers = _numeric_rules(df.columns)
-
-    def counts(rules: Mapping[str, Column]) -> Column:
-        if not rules:
-            return F.create_map().cast("map<string,bigint>")
-        pairs = [part for name, rule in rules.items() for part in (F.lit(name), F.count_if(rule))]
-        return F.create_map(*pairs)
-
+    impossible = {
+        rule: test.format(f"`{column}`") for rule, (column, test) in _IMPOSSIBLE.items() if column in df.columns
+    }
+    outliers = {
+        f"{c}_outside_0_1": f"`{c}` < 0 OR `{c}` > 1" for c in df.columns if c.endswith("_discount")
+    }
     return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        counts({c: F.col(c).isNull() for c in df.columns}).alias("nulls"),
-        counts(impossible).alias("impossible"),
-        counts(outliers).alias("outliers"),
+        F.expr("count(1) AS n_rows"),
+        F.expr(_counts({c: f"`{c}` IS NULL" for c in df.columns}) + " AS nulls"),
+        F.expr(_counts(impossible) + " AS impossible"),
+        F.expr(_counts(outliers) + " AS outliers"),
     )
 
 
-def _share(count: Column, n_rows: Column) -> Column:
-    return F.round((count / F.nullif(n_rows, F.lit(0))).cast("decimal(38,12)"), 6).cast("double")
+_SHARE = "CAST(round(CAST({0} / nullif(n_rows, 0) AS DECIMAL(38, 12)), 6) AS DOUBLE)"
 
 
 def missingness_evidence(df: DataFrame, spec: TableSpec, max_fail_share: float = MAX_NULL_SHARE) -> DataFrame:
     """One row per column: nulls, share, whether they are by design, status."""
     by_design = F.col("column_name").isin(*spec.nullable_by_design) if spec.nullable_by_design else F.lit(False)
     long = table_profile(df).select("n_rows", F.explode("nulls").alias("column_name", "null_count"))
-    share = _share(F.col("null_count"), F.col("n_rows"))
+    share = F.expr(_SHARE.format("null_count"))
     return long.select(
         F.lit(spec.name).alias("table_name"),
         "column_name",
@@ -150,43 +144,31 @@ def _profile_results(
     profile: DataFrame, spec: TableSpec, max_fail_share: float, max_outlier_share: float
 ) -> DataFrame:
     """The missingness and numeric-sanity rows of one profile row."""
-    affected = F.map_filter("nulls", lambda _, n: n > 0)
-    shares = F.transform_values(
-        affected, lambda _, n: F.struct(n.alias("count"), _share(n, F.col("n_rows")).alias("pct"))
+    design = ", ".join(f"'{c}'" for c in sorted(spec.nullable_by_design))
+    facts = profile.selectExpr(
+        "n_rows",
+        "impossible",
+        "outliers",
+        f"""transform_values(map_filter(nulls, (c, n) -> n > 0),
+            (c, n) -> named_struct('count', n, 'pct', {_SHARE.format("n")})) AS shares""",
+        "aggregate(map_values(impossible), 0L, (total, n) -> total + n) AS n_impossible",
+        "aggregate(map_values(outliers), 0L, (total, n) -> total + n) AS n_outliers",
+    ).selectExpr(
+        "*",
+        f"""array_max(transform(map_values(map_filter(shares,
+            (c, s) -> NOT array_contains(CAST(array({design}) AS ARRAY<STRING>), c))), s -> s.pct)) AS worst""",
     )
-    design = F.array(*[F.lit(c) for c in sorted(spec.nullable_by_design)]).cast("array<string>")
-    blocking = F.map_filter("shares", lambda c, _: ~F.array_contains(F.col("design"), c))
-    worst = F.array_max(F.transform(F.map_values("blocking"), lambda s: s["pct"]))
-
-    def total(counts: str) -> Column:
-        return F.aggregate(F.map_values(counts), F.lit(0).cast("long"), lambda acc, n: acc + n)
-
-    facts = (
-        profile.withColumn("shares", shares)
-        .withColumn("design", design)
-        .withColumn("blocking", blocking)
-        .withColumn("worst", worst)
-        .withColumn("n_impossible", total("impossible"))
-        .withColumn("n_outliers", total("outliers"))
+    return facts.selectExpr(
+        f"""inline(array(
+            struct('{spec.name}' AS table_name, 'missingness' AS check_name,
+                CASE WHEN worst > {max_fail_share!r}D THEN '{FAIL}' WHEN worst IS NOT NULL THEN '{WARN}'
+                    ELSE '{PASS}' END AS status,
+                to_json(struct(shares AS columns_affected, worst AS worst_pct)) AS details),
+            struct('{spec.name}' AS table_name, 'numeric_sanity' AS check_name,
+                CASE WHEN n_impossible > 0 OR n_outliers > {max_outlier_share!r}D * n_rows THEN '{FAIL}'
+                    WHEN n_outliers > 0 THEN '{WARN}' ELSE '{PASS}' END AS status,
+                to_json(struct(impossible AS impossible_values, outliers)) AS details)))"""
     )
-    missing = F.struct(
-        *_result(
-            "missingness",
-            spec.name,
-            _status(F.col("worst") > max_fail_share, F.col("worst").isNotNull()),
-            F.to_json(F.struct(F.col("shares").alias("columns_affected"), F.col("worst").alias("worst_pct"))),
-        )
-    )
-    material = F.col("n_outliers") > F.lit(max_outlier_share) * F.col("n_rows")
-    numeric = F.struct(
-        *_result(
-            "numeric_sanity",
-            spec.name,
-            _status((F.col("n_impossible") > 0) | material, F.col("n_outliers") > 0),
-            F.to_json(F.struct(F.col("impossible").alias("impossible_values"), "outliers")),
-        )
-    )
-    return facts.select(F.inline(F.array(missing, numeric)))
 
 
 def missingness_check(df: DataFrame, spec: TableSpec, max_fail_share: float = MAX_NULL_SHARE) -> DataFrame:
@@ -201,22 +183,31 @@ def numeric_check(df: DataFrame, spec: TableSpec, max_outlier_share: float = MAX
 
 def numeric_evidence(df: DataFrame, spec: TableSpec, max_outlier_share: float = MAX_OUTLIER_SHARE) -> DataFrame:
     """One row per rule with its violations, the table's row count and status."""
-    kinds = F.map_concat(
-        F.transform_values("impossible", lambda _, n: F.struct(F.lit("impossible").alias("kind"), n.alias("n"))),
-        F.transform_values("outliers", lambda _, n: F.struct(F.lit("outlier").alias("kind"), n.alias("n"))),
-    )
-    status = _profile_results(table_profile(df), spec, MAX_NULL_SHARE, max_outlier_share)
-    status = status.filter(F.col("check_name") == "numeric_sanity").select("status").scalar()
     return (
         table_profile(df)
-        .select("n_rows", F.explode(kinds).alias("rule", "found"))
+        .selectExpr(
+            "n_rows",
+            "impossible",
+            "outliers",
+            "aggregate(map_values(impossible), 0L, (total, n) -> total + n) AS n_impossible",
+            "aggregate(map_values(outliers), 0L, (total, n) -> total + n) AS n_outliers",
+        )
+        .selectExpr(
+            "*",
+            """explode(map_concat(
+                transform_values(impossible, (rule, n) -> struct('impossible' AS kind, n AS n)),
+                transform_values(outliers, (rule, n) -> struct('outlier' AS kind, n AS n)))) AS (rule, found)""",
+        )
         .select(
             F.lit(spec.name).alias("table_name"),
             F.col("found.kind").alias("kind"),
             "rule",
             F.col("found.n").alias("violations"),
             "n_rows",
-            status.alias("status"),
+            _status(
+                (F.col("n_impossible") > 0) | (F.col("n_outliers") > F.lit(max_outlier_share) * F.col("n_rows")),
+                F.col("n_outliers") > 0,
+            ).alias("status"),
         )
     )
 
@@ -422,7 +413,3 @@ def require_valid(report: DataFrame) -> None:
     if failed:
         names = ", ".join(f"{row.table_name}:{row.check_name}" for row in failed)
         raise ValidationFailed(f"failed checks: {names}")
-
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)
