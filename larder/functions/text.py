@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 
 def whole(value: Column) -> Column:
-    """Whole number, ties to even (the JVM formatter alone would round up)."""
-    return F.format_string("%.0f", F.rint(value))
+    """Whole number, ties to even (the JVM formatter alone would round up).
+
+    A missing value reads ``nan``.
+    """
+    return F.when(value.isNotNull(), F.format_string("%.0f", F.rint(value))).otherwise(F.lit("nan"))
 
 
 def percent(value: Column) -> Column:
-    """Whole percentage; a missing value reads ``nan%``."""
-    return F.coalesce(F.concat(whole(value * F.lit(100.0)), F.lit("%")), F.lit("nan%"))
+    return F.concat(whole(value * F.lit(100.0)), F.lit("%"))
 
 
 def capitalise(value: Column) -> Column:
