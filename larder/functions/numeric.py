@@ -65,6 +65,3 @@ def sum_skipping_nulls(columns: Sequence[str]) -> Column:
         total = total + F.coalesce(F.col(name), F.lit(0.0))
     return total
 
-
-def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)

@@ -20,7 +20,7 @@ from ..operators.features import history_and_holdout
 from ..session import settle, shared_folder
 from ..sources import panel as derive
 from ..sources.scan import scan_parquet
-from ..sources.tables import TABLES
+from ..sources.tables import ORDER_TABLES, TABLES
 
 # Fewer, larger steps than the learner's defaults: a trial fit, not a final one.
 TRIAL_BOOSTING = boosting.BoostingParams(max_rounds=20, learning_rate=0.15, max_depth=5)
@@ -45,10 +45,10 @@ class Warehouse:
         self.spark, self.sf_dir, self.grain = spark, sf_dir, grain
 
     def raw(self, name: str) -> DataFrame:
-        return scan_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", name)
+        return scan_parquet(self.spark, ORDER_TABLES[name], f"{self.sf_dir}/{name}.parquet")
 
     def _buckets(self) -> int:
-        lines = self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet").count()
+        lines = self.raw("lineitem").count()
         return min(MOST_BUCKETS, max(8, math.ceil(lines / LINES_PER_BUCKET)))
 
     @cached_property
@@ -67,11 +67,11 @@ class Warehouse:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return settle(derive.derive_inventory(self.spark, self.sf_dir, self.grain), "inventory")
+        return settle(derive.derive_inventory(self.panel, self.grain), "inventory")
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return settle(derive.derive_calendar(self.spark, self.sf_dir), "calendar")
+        return settle(derive.derive_calendar(self.panel), "calendar")
 
     @cached_property
     def weights(self) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
 from .scan import scan_parquet, select_declared
-from .tables import CALENDAR, DISCOUNTS, INVENTORY, SALES, SALES_AHEAD, WEIGHTS
+from .tables import CALENDAR, DISCOUNTS, INVENTORY, ORDER_TABLES, SALES, SALES_AHEAD, WEIGHTS
 
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 CATALOGUE_ONLY_IDS = (900001, 900002)
@@ -31,126 +31,136 @@ def _series_id(grain: str) -> Column:
     return region * 10000 + type_index * 100 + brand
 
 
-def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier key to region: three small tables, joined before the lines."""
-    supplier = scan_parquet(spark, f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
-    nation = scan_parquet(spark, f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
-    region = scan_parquet(spark, f"{sf_dir}/region.parquet")
-    return (
-        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_regionkey", F.col("r_name").alias("warehouse"))
-    )
+def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return scan_parquet(spark, ORDER_TABLES[name], f"{sf_dir}/{name}.parquet")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = scan_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    lines = _scan(spark, sf_dir, "lineitem")
     return lines.withColumn("date", F.col("l_shipdate").cast("date"))
 
 
-def product_lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    """Order lines with their series id."""
-    part = scan_parquet(spark, f"{sf_dir}/part.parquet").select("p_partkey", "p_type", "p_brand")
+def _in_regions(lines: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines with the supplier's region.
+
+    One table at a time, the lines always on the left: the planner compares
+    each dimension by its own size and broadcasts it only while it is small.
+    """
+    spark = lines.sparkSession
+    supplier = _scan(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nation = _scan(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = _scan(spark, sf_dir, "region")
     return (
-        _lines(spark, sf_dir)
-        .join(_suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("unique_id", _series_id(grain))
+        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("warehouse", F.col("r_name"))
     )
 
 
+def product_lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+    """Order lines with their series id."""
+    part = _scan(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    lines = _in_regions(_lines(spark, sf_dir), sf_dir)
+    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn("unique_id", _series_id(grain))
+
+
 def derive_panel(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     """One row per series and day with sales, price, availability, discounts.
 
     Fixed shares of rows carry a null target or a corrupt discount, so the
     quality checks and the null rules downstream have something to find.
     """
-    lines = product_lines(spark, sf_dir, grain)
-    discounts = [
-        F.coalesce(
-            F.max(F.when(F.col("l_linenumber") % 7 == i, F.col("l_discount") + F.lit(0.0))), F.lit(0.0)
-        ).alias(name)
-        for i, name in enumerate(DISCOUNTS)
-    ]
-    cells = lines.groupBy("unique_id", "date", "warehouse").agg(
-        F.sum("l_quantity").alias("quantity"),
-        F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("top_price"),
-        F.avg(F.when(F.col("l_returnflag") == "R", 0.0).otherwise(1.0)).alias("availability"),
-        *discounts,
+    cells = product_lines(spark, sf_dir, grain).groupBy("unique_id", "date", "warehouse").agg(
+        F.expr("sum(l_quantity) AS quantity"),
+        F.expr("max(l_extendedprice / l_quantity) AS top_price"),
+        F.expr("avg(IF(l_returnflag = 'R', 0D, 1D)) AS availability"),
+        *[
+            F.expr(f"coalesce(max(l_discount + 0D) FILTER (WHERE l_linenumber % 7 = {i}), 0D) AS {name}")
+            for i, name in enumerate(DISCOUNTS)
+        ],
     )
     # Order volume is a warehouse-day figure: distinct orders over all products.
     volume = (
-        _lines(spark, sf_dir)
-        .join(_suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+        _in_regions(_lines(spark, sf_dir), sf_dir)
         .groupBy("warehouse", "date")
         .agg(F.count_distinct("l_orderkey").alias("orders"))
     )
-    day = F.unix_date("date")
-    lost = (F.col("unique_id") * 31 + day) % 997 == 0
-    corrupt = (F.col("unique_id") * 17 + day) % 4999 == 0
-    panel = (
-        cells.join(volume, ["warehouse", "date"])
-        .withColumn("sales", F.when(~lost, F.col("quantity")))
-        .withColumn("total_orders", F.when(~lost, F.col("orders") + F.col("unique_id") % 2 * F.lit(0.5)))
-        .withColumn("sell_price_main", half_up(F.col("top_price") / F.lit(500.0), 2))
-        .withColumn("type_0_discount", F.when(corrupt, F.lit(-0.5)).otherwise(F.col("type_0_discount")))
+    lost = "(unique_id * 31 + unix_date(date)) % 997 = 0"
+    corrupt = "(unique_id * 17 + unix_date(date)) % 4999 = 0"
+    panel = cells.join(volume, ["warehouse", "date"]).withColumns(
+        {
+            "sales": F.expr(f"IF({lost}, NULL, quantity)"),
+            "total_orders": F.expr(f"IF({lost}, NULL, orders + unique_id % 2 * 0.5D)"),
+            "sell_price_main": half_up(F.expr("top_price / 500D"), 2),
+            "type_0_discount": F.expr(f"IF({corrupt}, -0.5D, type_0_discount)"),
+        }
     )
     return select_declared(panel, SALES)
 
 
-def derive_inventory(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    """One row per series, plus two catalogue entries that never sold."""
+def derive_inventory(panel: DataFrame, grain: str) -> DataFrame:
+    """One row per series, plus two catalogue entries that never sold.
+
+    The series id spells out region, type and brand, so the distinct ids of
+    the loaded panel are enough and the order lines are not read again.
+    """
     factor = 100 if grain == "dense" else 10000
-    brand = F.lit(None).cast("string") if grain == "dense" else F.col("p_brand")
-    nothing = F.lit(None).cast("string")
+    type_index = "unique_id % 100" if grain == "dense" else "unique_id % 10000 div 100"
+    brand = "CAST(NULL AS STRING)" if grain == "dense" else "concat('Brand#', unique_id % 100)"
+    types = ", ".join(f"'{t}'" for t in PART_TYPES)
     series = (
-        product_lines(spark, sf_dir, grain)
-        .select("unique_id", "warehouse", "p_type", brand.alias("brand"))
+        panel.select("unique_id", "warehouse")
         .distinct()
-        .select(
+        .selectExpr(
             "unique_id",
-            (F.col("unique_id") % factor).alias("product_unique_id"),
-            F.concat_ws("_", "p_type", "brand").alias("name"),
-            F.col("p_type").alias("l1_category_name_en"),
-            F.col("brand").alias("l2_category_name_en"),
-            nothing.alias("l3_category_name_en"),
-            nothing.alias("l4_category_name_en"),
+            f"unique_id % {factor} AS product_unique_id",
+            f"element_at(array({types}), CAST({type_index} + 1 AS INT)) AS l1_category_name_en",
+            f"{brand} AS l2_category_name_en",
+            "CAST(NULL AS STRING) AS l3_category_name_en",
+            "CAST(NULL AS STRING) AS l4_category_name_en",
             "warehouse",
         )
+        .withColumn("name", F.concat_ws("_", "l1_category_name_en", "l2_category_name_en"))
     )
-    region = scan_parquet(spark, f"{sf_dir}/region.parquet")
-    unsold = region.agg(F.min("r_name").alias("warehouse")).select(
-        F.explode(F.lit(list(CATALOGUE_ONLY_IDS)).cast("array<bigint>")).alias("unique_id"), "warehouse"
-    )
-    unsold = unsold.select(
-        "unique_id",
-        (F.col("unique_id") % 100000).alias("product_unique_id"),
-        F.concat(F.lit("UNSOLD_"), F.col("unique_id").cast("string")).alias("name"),
-        *[nothing.alias(f"l{i}_category_name_en") for i in (1, 2, 3, 4)],
-        "warehouse",
+    ids = ", ".join(f"{i}L" for i in CATALOGUE_ONLY_IDS)
+    unsold = (
+        panel.agg(F.min("warehouse").alias("warehouse"))
+        .selectExpr("warehouse", f"explode(array({ids})) AS unique_id")
+        .selectExpr(
+            "unique_id",
+            "unique_id % 100000 AS product_unique_id",
+            "concat('UNSOLD_', unique_id) AS name",
+            *[f"CAST(NULL AS STRING) AS l{i}_category_name_en" for i in (1, 2, 3, 4)],
+            "warehouse",
+        )
     )
     return select_declared(series.unionByName(unsold), INVENTORY)
 
 
-def derive_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+# The holidays of the derived calendar by month and day.
+HOLIDAYS = {"01-01": "New Year", "05-01": "Labour Day", "12-25": "Christmas"}
+OPEN_HOLIDAY = "Labour Day"
+
+
+def derive_calendar(panel: DataFrame) -> DataFrame:
     """Every warehouse and day of the panel's range with holiday flags."""
-    lines = _lines(spark, sf_dir)
-    days = lines.agg(F.min("date").alias("low"), F.max("date").alias("high"))
-    every_day = days.select(F.sequence("low", "high"))
-    region = scan_parquet(spark, f"{sf_dir}/region.parquet").select(F.col("r_name").alias("warehouse"))
-    month_day = F.date_format("date", "MM-dd")
-    holiday = (
-        F.when(month_day == "01-01", F.lit("New Year"))
-        .when(month_day == "05-01", F.lit("Labour Day"))
-        .when(month_day == "12-25", F.lit("Christmas"))
-    )
+    every_day = panel.agg(F.sequence(F.min("date"), F.max("date"))).scalar()
+    names = " ".join(f"WHEN '{day}' THEN '{name}'" for day, name in HOLIDAYS.items())
     calendar = (
-        region.withColumn("date", F.explode(every_day.scalar()))
-        .withColumn("holiday_name", holiday)
-        .withColumn("holiday", F.col("holiday_name").isNotNull().cast("int"))
-        .withColumn("shops_closed", (F.coalesce(F.col("holiday_name"), F.lit("Labour Day")) != "Labour Day").cast("int"))
-        .withColumn("winter_school_holidays", ((F.month("date") == 12) & (F.dayofmonth("date") >= 24)).cast("int"))
-        .withColumn("school_holidays", F.month("date").isin(7, 8).cast("int"))
+        panel.select("warehouse")
+        .distinct()
+        .withColumn("date", F.explode(every_day))
+        .withColumn("holiday_name", F.expr(f"CASE date_format(date, 'MM-dd') {names} END"))
+        .selectExpr(
+            "date",
+            "holiday_name",
+            "int(holiday_name IS NOT NULL) AS holiday",
+            f"int(coalesce(holiday_name, '{OPEN_HOLIDAY}') <> '{OPEN_HOLIDAY}') AS shops_closed",
+            "int(month(date) = 12 AND dayofmonth(date) >= 24) AS winter_school_holidays",
+            "int(month(date) IN (7, 8)) AS school_holidays",
+            "warehouse",
+        )
     )
     return select_declared(calendar, CALENDAR)
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import nan_to_null
 from .tables import TABLES, TableSpec
 
 
@@ -21,9 +19,13 @@ def lower_case_columns(df: DataFrame) -> DataFrame:
 
 def without_nan(df: DataFrame) -> DataFrame:
     """NULL is the only missing value past this point."""
-    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    return df.select(
-        [nan_to_null(F.col(c)).alias(c) if c in floating else F.col(c) for c in df.columns]
+    return df.selectExpr(
+        *[
+            f"nullif(`{f.name}`, double('NaN')) AS `{f.name}`"
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+            else f"`{f.name}`"
+            for f in df.schema
+        ]
     )
 
 
@@ -40,8 +42,9 @@ def scan_csv(spark: SparkSession, table: str | TableSpec, path: str) -> DataFram
     return without_nan(_load(lambda: reader.csv(path), spec.name, path))
 
 
-def scan_parquet(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    return without_nan(lower_case_columns(_load(lambda: spark.read.parquet(path), name or path, path)))
+def scan_parquet(spark: SparkSession, table: TableSpec, path: str) -> DataFrame:
+    """Parquet with the declared schema; no footer is read to find it out."""
+    return without_nan(_load(lambda: spark.read.schema(table.schema).parquet(path), table.name, path))
 
 
 def _load(read, name: str, path: str) -> DataFrame:
@@ -55,4 +58,6 @@ def _load(read, name: str, path: str) -> DataFrame:
 
 def select_declared(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The declared columns, in order, cast to their declared types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
+    return df.selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in spec.schema]
+    )

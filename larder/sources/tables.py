@@ -69,3 +69,47 @@ WEIGHTS = TableSpec("test_weights", _schema(unique_id=_LONG, weight=_DOUBLE), ke
 TABLES: dict[str, TableSpec] = {
     spec.name: spec for spec in (SALES, SALES_AHEAD, INVENTORY, CALENDAR, WEIGHTS)
 }
+
+# The order-line tables the panel is derived from.
+_STAMP = T.TimestampNTZType()
+ORDER_TABLES: dict[str, TableSpec] = {
+    spec.name: spec
+    for spec in (
+        TableSpec("region", _schema(r_regionkey=_INT, r_name=_TEXT), key=("r_regionkey",)),
+        TableSpec("nation", _schema(n_nationkey=_INT, n_name=_TEXT, n_regionkey=_INT), key=("n_nationkey",)),
+        TableSpec(
+            "supplier",
+            _schema(s_suppkey=_LONG, s_name=_TEXT, s_nationkey=_INT, s_acctbal=_DOUBLE),
+            key=("s_suppkey",),
+        ),
+        TableSpec(
+            "customer",
+            _schema(c_custkey=_LONG, c_name=_TEXT, c_nationkey=_INT, c_acctbal=_DOUBLE, c_mktsegment=_TEXT),
+            key=("c_custkey",),
+        ),
+        TableSpec(
+            "part",
+            _schema(
+                p_partkey=_LONG, p_name=_TEXT, p_brand=_TEXT, p_type=_TEXT, p_size=_INT, p_retailprice=_DOUBLE
+            ),
+            key=("p_partkey",),
+        ),
+        TableSpec(
+            "orders",
+            _schema(
+                o_orderkey=_LONG, o_custkey=_LONG, o_orderstatus=_TEXT, o_totalprice=_DOUBLE,
+                o_orderdate=_STAMP, o_orderpriority=_TEXT,
+            ),
+            key=("o_orderkey",),
+        ),
+        TableSpec(
+            "lineitem",
+            _schema(
+                l_orderkey=_LONG, l_partkey=_LONG, l_suppkey=_LONG, l_linenumber=_INT, l_quantity=_DOUBLE,
+                l_extendedprice=_DOUBLE, l_discount=_DOUBLE, l_tax=_DOUBLE, l_returnflag=_TEXT,
+                l_linestatus=_TEXT, l_shipdate=_STAMP,
+            ),
+            key=("l_orderkey", "l_linenumber"),
+        ),
+    )
+}

@@ -41,7 +41,7 @@ def test_drifted_or_missing_files_fail(spark, tmp_path):
     with pytest.raises(MissingSource):
         scan_csv(spark, "test_weights", str(tmp_path / "nowhere.csv"))
     with pytest.raises(MissingSource):
-        scan_parquet(spark, str(tmp_path / "nowhere.parquet"))
+        scan_parquet(spark, TABLES["test_weights"], str(tmp_path / "nowhere.parquet"))
 
 
 def test_verified_load_states(spark, frame, tmp_path):
