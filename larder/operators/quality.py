@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -265,14 +265,16 @@ def date_continuity_evidence(df: DataFrame, group: str | None = None) -> DataFra
 
 
 def missing_dates(df: DataFrame, group: str) -> DataFrame:
-    """The missing days themselves, per group."""
+    """The missing days themselves, per group.
+
+    Each present day looks at the next one and lists what lies between; a
+    group has at most one row per calendar day once duplicates are gone.
+    """
     present = df.select(group, "date").filter(F.col(group).isNotNull() & F.col("date").isNotNull()).distinct()
-    expected = (
-        present.groupBy(group)
-        .agg(F.sequence(F.min("date"), F.max("date")).alias("days"))
-        .select(group, F.explode("days").alias("date"))
-    )
-    return expected.join(present, [group, "date"], "left_anti")
+    following = F.lead("date").over(Window.partitionBy(group).orderBy("date"))
+    gaps = present.withColumn("following", following).filter(F.datediff("following", "date") > 1)
+    between = F.sequence(F.date_add("date", 1), F.date_sub("following", 1))
+    return gaps.select(group, F.explode(between).alias("date"))
 
 
 def date_continuity_check(df: DataFrame, spec: TableSpec) -> DataFrame:
