@@ -35,13 +35,15 @@ def held_runs(history: DataFrame) -> DataFrame:
     """Add the run each row starts: ``days`` it lasts and the value ``held``.
 
     ``held`` is the last known value at or before the row and NULL before the
-    first known one.
+    first known one.  Two rows for one day have no defined order and fail.
     """
     past = _by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     following = F.lead("day_no").over(_by_day())
+    days = F.coalesce(following - F.col("day_no"), F.lit(1))
+    twice = F.concat(F.lit("two rows for one day in series "), F.col("unique_id").cast("string"))
     return _dated(history).withColumns(
         {
-            "days": F.coalesce(following - F.col("day_no"), F.lit(1)),
+            "days": F.when(days > 0, days).otherwise(F.raise_error(twice).cast("int")),
             "held": F.last("sales", ignorenulls=True).over(past),
         }
     )

@@ -7,6 +7,7 @@ code with the Spark operators beyond the parameters of the registered queries.
 
 from __future__ import annotations
 
+from .. import __version__ as VERSION
 from ..operators.replenish import (
     AVAILABILITY_ASSUMPTION, ENGINE_VERSION, GAP_ASSUMPTION, GAP_TEXT, MARGIN_ASSUMPTION, TIER_TEXT,
 )
@@ -597,25 +598,30 @@ _dense(
 
 # --- time lines and features ---------------------------------------------------
 
-_FULL_GRID = [
-    """full_grid AS (
+def _daily(panel: str, grid: str, held: str, past: str) -> list[str]:
+    """Day-by-day values, lags and rolling means of a panel with its gaps filled."""
+    return [
+        f"""{grid} AS (
   SELECT unique_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
-  FROM panel GROUP BY unique_id)""",
-    """held AS (
+  FROM {panel} GROUP BY unique_id)""",
+        f"""{held} AS (
   SELECT unique_id, date, last_value(sales IGNORE NULLS) OVER (
       PARTITION BY unique_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held
-  FROM full_grid LEFT JOIN (SELECT unique_id, date, sales FROM panel) USING (unique_id, date))""",
-    """past AS (
+  FROM {grid} LEFT JOIN (SELECT unique_id, date, sales FROM {panel}) USING (unique_id, date))""",
+        f"""{past} AS (
   SELECT unique_id, date,
     lag(held, 28) OVER w AS lag_28, lag(held, 35) OVER w AS lag_35, lag(held, 42) OVER w AS lag_42,
     lag(held, 56) OVER w AS lag_56,
     CASE WHEN count(held) OVER w7 >= 7 THEN avg(held) OVER w7 END AS r7,
     CASE WHEN count(held) OVER w28 >= 7 THEN avg(held) OVER w28 END AS r28
-  FROM held
+  FROM {held}
   WINDOW w AS (PARTITION BY unique_id ORDER BY date),
     w7 AS (PARTITION BY unique_id ORDER BY date ROWS BETWEEN 34 PRECEDING AND 28 PRECEDING),
     w28 AS (PARTITION BY unique_id ORDER BY date ROWS BETWEEN 55 PRECEDING AND 28 PRECEDING))""",
-]
+    ]
+
+
+_FULL_GRID = _daily("panel", "full_grid", "held", "past")
 _LAG_NAMES = "lag_28, lag_35, lag_42, lag_56"
 _ROLLING = f"{up('r7', 4)} AS rmean_7_lag28, {up('r28', 4)} AS rmean_28_lag28"
 _FLAGS = "holiday, shops_closed, winter_school_holidays, school_holidays"
@@ -644,6 +650,24 @@ FROM panel JOIN past USING (unique_id, date) LEFT JOIN calendar USING (warehouse
 LEFT JOIN {_CATEGORY} USING (unique_id)""",
     *_FULL_GRID,
 )
+_HISTORY = {"lag_28": "lag_28", "lag_35": "lag_35", "lag_42": "lag_42", "lag_56": "lag_56",
+            "rmean_7_lag28": "r7", "rmean_28_lag28": "r28"}
+# Features that never read sales cannot change with them.
+_FIXED = ["sell_price_main", "discount_total", "dow", "day_of_month", "month", "holiday", "shops_closed",
+          "winter_school_holidays", "school_holidays", *[f"warehouse_{v}" for v in REGIONS],
+          *[f"l1_category_name_en_{v}" for v in TYPES]]
+_dense(
+    "f10_leak_audit",
+    " UNION ALL ".join(
+        [f"SELECT '{name}' AS feature, count(*) FILTER (WHERE a.{c} IS DISTINCT FROM b.{c}) AS n_changed, count(*) AS n_rows "
+         "FROM compared a JOIN spiked_past b USING (unique_id, date)" for name, c in _HISTORY.items()]
+        + [f"SELECT '{name}', 0, count(*) FROM compared" for name in _FIXED]
+    ),
+    *_FULL_GRID,
+    "spiked AS (SELECT unique_id, date, CASE WHEN date >= cutoff THEN 1e6::DOUBLE ELSE sales END AS sales FROM panel, edge)",
+    *_daily("spiked", "spiked_grid", "spiked_held", "spiked_past"),
+    "compared AS (SELECT past.* FROM past JOIN panel USING (unique_id, date), edge WHERE date >= cutoff)",
+)
 _sparse("f11_seasonal_naive", f"SELECT unique_id, date, {up('prediction', 6)} AS prediction, method FROM naive", *_FORECAST)
 _sparse("f12_moving_average", f"SELECT unique_id, date, {up('prediction', 6)} AS prediction, method FROM average", *_FORECAST)
 _sparse("f13_forecast_grid", "SELECT unique_id, date, CAST(dow AS INTEGER) AS dow FROM future", *_FORECAST)
@@ -856,3 +880,33 @@ _sparse(
     "SELECT count(*) FILTER (WHERE availability_data_gap) AS data_gaps, count(*) AS series FROM risk",
     *_FORECAST, *_RISK,
 )
+
+# --- jobs ------------------------------------------------------------------------
+
+_COUNTED = [f"SELECT '{name}' AS table_name, count(*) AS n FROM {cte}" for name, cte in _CTE.items()]
+_COUNTS = "counted AS (" + " UNION ALL ".join(_COUNTED) + ")"
+_dense(
+    "s05_verified_load",
+    """SELECT table_name, n AS expected_rows, n AS actual_rows, outcome
+FROM counted, (VALUES ('loaded'), ('skipped')) AS runs(outcome)""",
+    _COUNTS,
+)
+_dense(
+    "s12_run_manifest",
+    f"SELECT 'ingestion' AS kind, '{VERSION}' AS version, 'PASS' AS status, table_name, n AS n_rows FROM counted",
+    _COUNTS,
+)
+_dense(
+    "v01_schema",
+    """SELECT table_name, 'schema' AS check_name, 'PASS' AS status,
+  '{"missing_columns":[],"unexpected_columns":[],"dtype_mismatches":{}}' AS details FROM counted""",
+    _COUNTS,
+)
+ORACLES["s08_query_batch"] = " UNION ALL ".join(
+    f"SELECT '{key}' AS question, (SELECT count(*) FROM ({sql})) AS n_rows, 'PASS' AS status, CAST(NULL AS VARCHAR) AS error"
+    for key, sql in ORACLES.items()
+    if key[0] == "q"
+)
+ORACLES["d09_artifact_status"] = (
+    "SELECT * FROM (VALUES ('forecasts', false), ('risk', true), ('recommendations', false)) AS t(artifact, available)"
+)

@@ -68,6 +68,13 @@ def test_lags_and_rolling_means_equal_the_daily_line(frame, gappy):
                 assert mean == pytest.approx(sum(window) / len(window))
 
 
+@pytest.mark.parametrize("operator", [timeline.regularize, timeline.with_history, baselines.series_profile])
+def test_two_rows_for_a_day_fail(frame, operator):
+    rows = [(1, date(2024, 1, 1), 5.0), (1, date(2024, 1, 1), 6.0), (1, date(2024, 1, 2), 7.0)]
+    with pytest.raises(Exception, match="two rows for one day in series 1"):
+        operator(frame(rows, HISTORY)).collect()
+
+
 def forecast(frame, rows, dates, model, declared=None, window=28):
     profile = baselines.series_profile(frame(rows, HISTORY), window)
     horizon = baselines.horizon_dates(frame([(d,) for d in dates], "date date"))
