@@ -84,12 +84,13 @@ def feature_frame(
     """Keys, target and all features of each panel row.
 
     ``values`` are the known warehouses and categories (see ``categories``).
-    History comes first, on a panel pruned to the columns in use; calendar and
-    inventory are joined to its rows afterwards.
+    History comes first, on a panel pruned to the columns in use.  The category
+    follows while rows are still placed by series; the calendar, bounded by
+    warehouses times days, comes last.
     """
     used = panel.select("unique_id", "date", "warehouse", "sales", "sell_price_main", *DISCOUNTS)
     frame = with_discount_total(with_history(used)).drop(*DISCOUNTS)
-    frame = with_date_parts(with_category(with_calendar(frame, calendar), inventory))
+    frame = with_date_parts(with_calendar(with_category(frame, inventory), calendar))
     frame = with_one_hot(frame, values)
     return frame.select("unique_id", "date", "warehouse", "sales", *feature_columns(values))
 

@@ -8,8 +8,8 @@ smaller is a plain Parquet copy.
 
 from __future__ import annotations
 
-import itertools
 import math
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +29,6 @@ TRIAL_BOOSTING = boosting.BoostingParams(max_rounds=20, learning_rate=0.15, max_
 LINES_PER_BUCKET = 50_000_000
 MOST_BUCKETS = 20_000
 
-_panel_number = itertools.count()
 _open: dict[tuple[str, str, str], "Warehouse"] = {}
 
 
@@ -53,7 +52,7 @@ class Warehouse:
 
     @cached_property
     def panel(self) -> DataFrame:
-        name = f"larder_panel_{next(_panel_number)}"
+        name = f"larder_panel_{uuid.uuid4().hex[:12]}"
         buckets = self._buckets()
         (
             derive.derive_panel(self.spark, self.sf_dir, self.grain)
