@@ -1,8 +1,8 @@
 """Boosted regression trees on the feature table.
 
-The number of rounds is chosen on an inner validation window, the 28 days
-before the holdout; the final model is then fitted on everything before the
-holdout, which is only predicted.
+The number of rounds is the one with the smallest mean absolute error on an
+inner validation window, the 28 days before the holdout; the final model is
+then fitted on everything before the holdout, which is only predicted.
 """
 
 from __future__ import annotations
@@ -84,6 +84,17 @@ def _learner(params: BoostingParams, rounds: int) -> GBTRegressor:
     )
 
 
+def _best_rounds(train: DataFrame, validation: DataFrame, params: BoostingParams) -> int:
+    """Rounds after which the validation error is smallest.
+
+    All rounds are fitted and scored one after the other, so a passing rise of
+    the error does not end the search.
+    """
+    probe = _learner(params, params.max_rounds).fit(train)
+    errors = probe.evaluateEachIteration(validation, "absolute")
+    return min(range(len(errors)), key=errors.__getitem__) + 1
+
+
 def boosted_forecast(
     frame: DataFrame, features: Sequence[str], params: BoostingParams = BoostingParams()
 ) -> BoostedForecast:
@@ -94,8 +105,9 @@ def boosted_forecast(
     rows = vectors.select("unique_id", "date", "warehouse", "sales", "split", "inputs")
 
     known = rows.filter((F.col("split") != "holdout") & F.col("sales").isNotNull())
-    probe = _learner(params, params.max_rounds).setValidationIndicatorCol("validating")
-    rounds = probe.fit(known.withColumn("validating", F.col("split") == "validation")).getNumTrees
+    rounds = _best_rounds(
+        known.filter(F.col("split") == "train"), known.filter(F.col("split") == "validation"), params
+    )
     model = _learner(params, rounds).fit(known)
 
     holdout = rows.filter(F.col("split") == "holdout")
