@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that a task turns into Python or numpy values at a time.
 SLICE_BYTES = 4 << 20
@@ -13,7 +14,7 @@ SLICE_BYTES = 4 << 20
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Sub-batches with about ``most`` bytes of text; a longer text comes alone and whole."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
             if row > start and held + size > most:
