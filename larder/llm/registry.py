@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, exact
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +32,16 @@ def tokenizer() -> str:
 @register
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@register
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.classes(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
