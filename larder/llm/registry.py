@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, simhash
+from ..session import shared_folder
+from . import bpe, exact, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,3 +52,28 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 @register
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.parsed(warc.read_archive(spark, folder))
+
+
+ORACLES["op9_warc"] = """
+WITH hashed AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+facts AS (
+    SELECT page_id, payload, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+           max(page_id) OVER (PARTITION BY payload) AS response_id
+    FROM hashed
+)
+SELECT page_id, payload_bytes, record_type, refers_to,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)),
+           'string_agg', '') AS payload_digest
+FROM (SELECT *, CASE WHEN page_id = response_id THEN 'response' ELSE 'revisit' END AS record_type,
+             CASE WHEN page_id <> response_id THEN response_id END AS refers_to
+      FROM facts)
+"""
