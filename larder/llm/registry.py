@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, exact, simhash, warc
+from . import bpe, chat, exact, sharding, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,3 +78,31 @@ FROM (SELECT *, CASE WHEN page_id = response_id THEN 'response' ELSE 'revisit' E
              CASE WHEN page_id <> response_id THEN response_id END AS refers_to
       FROM facts)
 """
+
+
+SHARDS = 24
+
+
+@register
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: A conversation whose texts hold what chat templates use as control strings.
+CONTROL_CONVERSATION = -7
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(CONTROL_CONVERSATION).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return given.unionByName(extra)
+
+
+@register
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(conversations(spark, sf_dir))
