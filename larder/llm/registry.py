@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, chat, exact, sharding, simhash, warc
+from . import bpe, chat, exact, extraction, sharding, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,3 +106,8 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(conversations(spark, sf_dir))
+
+
+@register
+def op7_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
