@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, chat, chunks, exact, extraction, quality, sharding, simhash, warc
+from . import bpe, chat, chunks, exact, extraction, mixing, quality, sharding, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,3 +121,8 @@ def op2_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
