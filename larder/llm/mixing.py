@@ -3,8 +3,8 @@
 A naive Bayes classifier over hashed words, fitted to the labels table, gives
 each document posterior memberships in the domains.  Projected-gradient least
 squares then finds nonnegative rates (expected copies of a document) whose
-expected tokens per domain meet the targets, starting from one copy of each.
-Residuals are weighted by the inverse of the domains' Gram matrix, in which the
+expected tokens per domain meet the targets, starting from one copy of each,
+with momentum for targets that drive many rates to zero.  Residuals are weighted by the inverse of the domains' Gram matrix, in which the
 problem is perfectly scaled: without active bounds, one step solves it.  The
 driver sees one number per domain, or pair of domains, and step.
 """
@@ -28,7 +28,7 @@ SMOOTHING = 1.0
 #: Weight of the mean log-likelihood of a word: a document counts as so many independent words.
 EVIDENCE_WORDS = 30.0
 
-STEPS = 25
+STEPS = 48
 TOLERANCE = 1e-4
 #: Steps after which the rates so far are written.
 STRIDE = 8
@@ -138,26 +138,36 @@ def rates(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float
     ).first()
     gram = [[sums[f"g{max(i, j)}_{min(i, j)}"] for j in numbers] for i in numbers]
     targets = [d.share * budget * sums["all"] for d in domains]
-    current, pending = members.withColumn("rate", F.lit(1.0)), []
+    current, pending, before = members.withColumns({"rate": F.lit(1.0), "last_rate": F.lit(1.0)}), [], None
     for step in range(STEPS):
         moved = _after(current, pending, held)
-        reached = moved.agg(*(F.coalesce(F.sum(held[i] * F.col("rate")), F.lit(0.0)).alias(f"t{i}") for i in numbers)).first()
-        missing = [reached[f"t{i}"] - targets[i] for i in numbers]
-        if max(abs(m) for m in missing) <= TOLERANCE * max(sum(targets), 1e-300):
+        sums = moved.agg(*(F.coalesce(F.sum(held[i] * F.col("rate")), F.lit(0.0)).alias(f"t{i}") for i in numbers)).first()
+        reached = [sums[f"t{i}"] for i in numbers]
+        if max(abs(r - t) for r, t in zip(reached, targets)) <= TOLERANCE * max(sum(targets), 1e-300):
             break
-        pending.append(solve(gram, missing))
+        # The gradient is taken ahead of the rates, by the momentum; totals are linear in the rates.
+        momentum = step / (step + 3)
+        ahead = [r + momentum * (r - b) for r, b in zip(reached, before or reached)]
+        pending.append([momentum, *solve(gram, [a - t for a, t in zip(ahead, targets)])])
+        before = reached
         if len(pending) == STRIDE:
             current, pending = settle(_after(current, pending, held), "rates"), []
-    return _after(current, pending, held)
+    return _after(current, pending, held).drop("last_rate")
 
 
 def _after(current: DataFrame, steps: list[list[float]], held: list[Column]) -> DataFrame:
-    """Rates after more gradient steps, each projected onto the nonnegative numbers."""
-    rate = F.col("rate")
-    if steps:
-        given = F.array(*(F.array(*map(F.lit, s)) for s in steps))
-        rate = F.aggregate(given, rate, lambda x, s: F.greatest(F.lit(0.0), x - _total([h * s[i] for i, h in enumerate(held)])))
-    return current.withColumn("rate", rate)
+    """Rates after more gradient steps with momentum, each projected onto the nonnegative numbers."""
+    if not steps:
+        return current
+    given = F.array(*(F.array(*map(F.lit, s)) for s in steps))
+
+    def move(state: Column, step: Column) -> Column:
+        ahead = state.rate + step[0] * (state.rate - state.last_rate)
+        moved = ahead - _total([h * step[i + 1] for i, h in enumerate(held)])
+        return F.struct(F.greatest(F.lit(0.0), moved).alias("rate"), state.rate.alias("last_rate"))
+
+    final = F.aggregate(given, F.struct("rate", "last_rate"), move)
+    return current.withColumn("moved", final).withColumns({"rate": F.col("moved.rate"), "last_rate": F.col("moved.last_rate")}).drop("moved")
 
 
 def mix(docs: DataFrame, labels: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET, key: str = "doc_id", text: str = "text") -> DataFrame:
