@@ -28,8 +28,6 @@ PIECE = 1 << 16
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 1_566_083_941)
 
-_PIECES = "bigint, text_sha256 string, n_bytes bigint, piece int, h1 bigint, h2 bigint"
-
 
 @lru_cache(maxsize=4)
 def _powers(base: int) -> np.ndarray:
@@ -139,15 +137,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     assigned = None
     while True:
         # Each round compares every open row with the largest id of its fingerprint.
-        groups = open_rows.groupBy(*shape).agg(
+        # Written, so that both sides of the join are plain shuffles and a large group can be split.
+        groups = settle(open_rows.groupBy(*shape).agg(
             F.max(F.struct("doc_id", "text_sha256")).alias("stays"), F.count("*").alias("n")
-        ).where("n > 1")
-        candidates = open_rows.distinct() if assigned is not None else open_rows
-        candidates = candidates.join(groups, shape).select(
+        ).where("n > 1"), "groups")
+        candidates = settle(open_rows.join(groups, shape).select(
             "doc_id", "text_sha256", F.col("stays.doc_id").alias("keep_id"), F.col("stays.text_sha256").alias("keep_sha256")
-        ).distinct()
-        found = _compare(rows, candidates)
-        found = settle(found, "equal-rows")
+        ), "candidates")
+        found = settle(_compare(rows, candidates.distinct()), "equal-rows")
         assigned = found if assigned is None else assigned.unionByName(found)
         left = open_rows.join(groups.select(*shape), shape, "left_semi").alias("a").join(
             found.alias("b"), _same_row("a", "b"), "left_anti")
@@ -155,7 +152,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         if left.isEmpty():
             break
         open_rows = left
-    sizes = assigned.groupBy("keep_id", "keep_sha256").agg(F.sum("copies").alias("group_size"))
+    sizes = settle(assigned.groupBy("keep_id", "keep_sha256").agg(F.sum("copies").alias("group_size")), "group-sizes")
     found = assigned.alias("a").join(
         sizes.alias("s"), F.col("a.keep_id").eqNullSafe(F.col("s.keep_id")) & (F.col("a.keep_sha256") == F.col("s.keep_sha256"))
     ).select("a.doc_id", "a.text_sha256", "a.keep_id", "a.keep_sha256", "s.group_size")
@@ -172,9 +169,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def _compare(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     """The candidates whose pieces all equal those of the row that would stay, with their number of copies."""
-    members = rows.alias("r").join(candidates.alias("c"), _same_row("r", "c")).select(
+    members = settle(rows.alias("r").join(candidates.alias("c"), _same_row("r", "c")).select(
         "r.doc_id", "r.text_sha256", "r.n_bytes", "r.bytes", "c.keep_id", "c.keep_sha256"
-    )
+    ), "candidate-texts")  # a small part of all texts, read twice below
     pieces = _cut(members)
     standing = pieces.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_sha256") == F.col("keep_sha256")))
     equal = pieces.alias("p").join(
