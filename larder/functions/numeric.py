@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 
 def half_up(value: Column, places: int) -> Column:
-    """Decimal rounding, ties away from zero; the result is a double again."""
-    return F.round(value.cast("decimal(38,6)"), places).cast("double")
+    """Decimal rounding, ties away from zero; the result is a double again.
+
+    Ten places hold what a double says about values of this size, and drop the
+    last bits, in which sums taken in another order differ.
+    """
+    return F.round(value.cast("decimal(38,10)"), places).cast("double")
 
 
 def half_even(value: Column, places: int) -> Column:

@@ -1,8 +1,9 @@
-"""Boosted regression trees on the feature table.
+"""Boosted regression trees on the model's frame.
 
-The number of rounds is the one with the smallest mean absolute error on an
-inner validation window, the 28 days before the holdout; the final model is
-then fitted on everything before the holdout, which is only predicted.
+Fitting stops early: the number of rounds is the one with the smallest mean
+absolute error on an inner validation window, the 28 days before the holdout,
+once no later round has improved on it for ``patience`` rounds.  The final
+model is then fitted on everything before the holdout, which is only predicted.
 """
 
 from __future__ import annotations
@@ -10,12 +11,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import last_day, split_label
+from ..session import use_shared_checkpoints
+from .features import CATEGORY, HISTORY_FEATURES, KNOWN_AHEAD, category_index, last_day, split_label
+
+CATEGORICAL = ("warehouse", CATEGORY)
+#: Rounds of the first trial fit beyond the patience; each further trial doubles the rounds.
+FIRST_TRIAL = 30
 
 
 @dataclass(frozen=True)
@@ -23,6 +29,7 @@ class BoostingParams:
     """The learner's published settings."""
 
     max_rounds: int = 3000
+    patience: int = 50
     learning_rate: float = 0.03
     max_depth: int = 8
     min_rows_per_leaf: int = 10
@@ -33,12 +40,19 @@ class BoostingParams:
 
 @dataclass(frozen=True)
 class BoostedForecast:
+    """The final model; ``stopped`` is false if the ceiling of rounds ended the search."""
+
     model: GBTRegressionModel
     rounds: int
-    inputs: list[str]
+    stopped: bool
+    inputs: DataFrame
     predictions: DataFrame
 
 
+class RoundsExhausted(RuntimeError):
+    """The ceiling of rounds was reached while the error was still falling."""
+
+
 def _has_gaps(name: str) -> bool:
     return name.startswith(("lag_", "rmean_", "sell_price"))
 
@@ -46,26 +60,42 @@ def _has_gaps(name: str) -> bool:
 def with_filled_gaps(frame: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Give every feature a value and flag where it had none.
 
-    The tree learner takes no missing values.  A missing history feature is
-    the series' own mean before the holdout, else the mean of all series; an
-    indicator column keeps the fact that it was missing.
+    The tree learner takes no missing values.  A missing one becomes zero, and
+    an indicator column keeps the fact, so a row's inputs depend on nothing but
+    its own features.
+    """
+    flags = {f"{f}_missing": F.col(f).isNull().cast("double") for f in features if _has_gaps(f)}
+    fills = {f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
+    return frame.withColumns(flags).withColumns(fills), [*features, *flags]
+
+
+def encoded(frame: DataFrame, known: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The frame with its ``inputs`` vector, and the name of each place in it.
+
+    Warehouse and category become sparse 0/1 vectors, whatever their number of
+    values; the values of ``known`` are numbered in a table that is joined in.
     """
-    past = frame.filter(F.col("split") != "holdout")
-    own = past.groupBy("unique_id").agg(F.avg("sales").alias("own_mean"))
-    everyone = past.agg(F.coalesce(F.avg("sales"), F.lit(0.0))).scalar()
-    price = past.agg(F.coalesce(F.avg("sell_price_main"), F.lit(0.0))).scalar()
-    gappy = [f for f in features if _has_gaps(f)]
-    flags = {f"{f}_missing": F.col(f).isNull().cast("double") for f in gappy}
-    fallback = F.coalesce("own_mean", "everyone")
-    fills = {
-        f: F.coalesce(F.col(f).cast("double"), F.col("price") if f.startswith("sell_price") else fallback)
-        if f in gappy
-        else F.coalesce(F.col(f).cast("double"), F.lit(0.0))
-        for f in features
-    }
-    joined = frame.join(own, "unique_id", "left").withColumns({"everyone": everyone, "price": price})
-    filled = joined.withColumns(flags).withColumns(fills).drop("own_mean", "everyone", "price")
-    return filled, [*features, *flags]
+    spark = frame.sparkSession
+    filled, numeric = with_filled_gaps(frame, features)
+    names = spark.createDataFrame(list(enumerate(numeric)), "place int, feature string")
+    offset, vectors = len(numeric), []
+    for column in CATEGORICAL:
+        slots = category_index(known, column)
+        filled = filled.join(slots.withColumnRenamed("slot", f"{column}_slot"), column, "left").fillna(0, [f"{column}_slot"])
+        size = slots.count() + 1
+        # Its sizes are known here, so the encoder needs no pass over the frame to learn them.
+        encoder = _encoder(spark, f"{column}_slot", f"{column}_vector", size)
+        filled, vectors = encoder.transform(filled), [*vectors, f"{column}_vector"]
+        values = slots.select((F.lit(offset) + F.col("slot")).alias("place"), F.concat(F.lit(f"{column}_"), F.col(column)).alias("feature"))
+        unknown = spark.range(1).select(F.lit(offset).alias("place"), F.lit(f"{column}_unknown").alias("feature"))
+        names, offset = names.unionByName(unknown).unionByName(values), offset + size
+    assembled = VectorAssembler(inputCols=[*numeric, *vectors], outputCol="inputs").transform(filled)
+    return assembled, names
+
+
+def _encoder(spark, source: str, target: str, size: int) -> OneHotEncoderModel:
+    full = spark.range(1).select(F.lit(size - 1).alias(source))
+    return OneHotEncoder(inputCols=[source], outputCols=[target], dropLast=False).fit(full)
 
 
 def _learner(params: BoostingParams, rounds: int) -> GBTRegressor:
@@ -84,28 +114,53 @@ def _learner(params: BoostingParams, rounds: int) -> GBTRegressor:
     )
 
 
-def _best_rounds(train: DataFrame, validation: DataFrame, params: BoostingParams) -> int:
-    """Rounds after which the validation error is smallest.
+def first_stop(errors: Sequence[float], patience: int) -> int | None:
+    """Rounds up to the best error at the first time that none improves on it for ``patience`` rounds."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1
+    return None
+
+
+def _best_rounds(train: DataFrame, validation: DataFrame, params: BoostingParams) -> tuple[int, bool]:
+    """Rounds to fit, and whether patience (not the ceiling) ended the search.
 
-    All rounds are fitted and scored one after the other, so a passing rise of
-    the error does not end the search.
+    A longer fit begins with the trees of a shorter one, so fitting twice as
+    many rounds until the error has been at rest for long enough finds what
+    stopping a single long fit would: at most about four times its rounds.
     """
-    probe = _learner(params, params.max_rounds).fit(train)
-    errors = probe.evaluateEachIteration(validation, "absolute")
-    return min(range(len(errors)), key=errors.__getitem__) + 1
+    rounds = params.patience + FIRST_TRIAL
+    while True:
+        rounds = min(rounds, params.max_rounds)
+        errors = _learner(params, rounds).fit(train).evaluateEachIteration(validation, "absolute")
+        best = first_stop(errors, params.patience)
+        if best is not None:
+            return best, True
+        if rounds == params.max_rounds:
+            return min(range(len(errors)), key=errors.__getitem__) + 1, False
+        rounds *= 2
 
 
 def boosted_forecast(
-    frame: DataFrame, features: Sequence[str], params: BoostingParams = BoostingParams()
+    frame: DataFrame,
+    inventory: DataFrame,
+    params: BoostingParams = BoostingParams(),
+    features: Sequence[str] = (*HISTORY_FEATURES, *KNOWN_AHEAD),
 ) -> BoostedForecast:
-    """Fit on a feature table (read several times: pass a written one)."""
+    """Fit on the model's frame (read several times: pass a written one).
+
+    ``inventory`` lists the warehouses and categories that have inputs of their own.
+    """
+    use_shared_checkpoints(frame.sparkSession)
     labelled = frame.withColumn("split", split_label(F.col("date"), last_day(frame)))
-    filled, inputs = with_filled_gaps(labelled, features)
-    vectors = VectorAssembler(inputCols=inputs, outputCol="inputs").transform(filled)
+    vectors, inputs = encoded(labelled, inventory, features)
     rows = vectors.select("unique_id", "date", "warehouse", "sales", "split", "inputs")
 
     known = rows.filter((F.col("split") != "holdout") & F.col("sales").isNotNull())
-    rounds = _best_rounds(
+    rounds, stopped = _best_rounds(
         known.filter(F.col("split") == "train"), known.filter(F.col("split") == "validation"), params
     )
     model = _learner(params, rounds).fit(known)
@@ -114,12 +169,13 @@ def boosted_forecast(
     predictions = model.transform(holdout).select(
         "unique_id", "date", "warehouse", "prediction", F.col("sales").alias("actual")
     )
-    return BoostedForecast(model, rounds, inputs, predictions)
+    return BoostedForecast(model, rounds, stopped, inputs, predictions)
 
 
-def importances(forecast: BoostedForecast, frame: DataFrame, limit: int = 10) -> DataFrame:
-    """The model's most important inputs (one row per input column)."""
-    spark = frame.sparkSession
-    pairs = list(zip(forecast.inputs, (float(v) for v in forecast.model.featureImportances.toArray())))
-    table = spark.createDataFrame(pairs, "feature string, importance double")
-    return table.orderBy(F.desc("importance"), "feature").limit(limit)
+def importances(forecast: BoostedForecast, limit: int | None = 10) -> DataFrame:
+    """The model's inputs, most important first."""
+    spark = forecast.inputs.sparkSession
+    values = [(i, float(v)) for i, v in enumerate(forecast.model.featureImportances.toArray())]
+    weighted = forecast.inputs.join(spark.createDataFrame(values, "place int, importance double"), "place")
+    table = weighted.select("feature", "importance").orderBy(F.desc("importance"), "feature")
+    return table if limit is None else table.limit(limit)

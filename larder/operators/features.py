@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import sum_skipping_nulls
@@ -19,7 +19,6 @@ from .timeline import LAG_SHIFT, LAGS, ROLLING_WINDOWS, with_history
 HORIZON_DAYS = 28
 CALENDAR_FLAGS = ["holiday", "shops_closed", "winter_school_holidays", "school_holidays"]
 CATEGORY = "l1_category_name_en"
-MOST_CATEGORIES = 2_000
 
 HISTORY_FEATURES = [f"lag_{k}" for k in LAGS] + [f"rmean_{w}_lag{LAG_SHIFT}" for w in ROLLING_WINDOWS]
 KNOWN_AHEAD = ["sell_price_main", "discount_total", "dow", "day_of_month", "month", *CALENDAR_FLAGS]
@@ -50,17 +49,24 @@ def with_date_parts(panel: DataFrame) -> DataFrame:
 
 
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a dimension column.
+    """Sorted distinct values of a dimension column, for presenting them as columns of their own.
 
-    They become columns, so their number is that of a plan, not of the data;
-    a column with too many distinct values is refused rather than widened.
+    Each value becomes a column of the plan.  The model does not go this way:
+    it reads :func:`category_index`, which stays a table.
     """
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
-    if len(found) > MOST_CATEGORIES:
-        raise ValueError(f"{column} has more than {MOST_CATEGORIES} values; one-hot columns need a small set")
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct().collect()
     return sorted(row[0] for row in found)
 
 
+def category_index(df: DataFrame, column: str) -> DataFrame:
+    """``column`` and its ``slot`` in sorted order, from 1 on; slot 0 is for missing or unknown values.
+
+    Numbering runs over the distinct values of a dimension, not over its rows.
+    """
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return values.select(column, F.row_number().over(Window.orderBy(column)).alias("slot"))
+
+
 def with_one_hot(df: DataFrame, values: dict[str, Sequence[str]]) -> DataFrame:
     """0/1 column per value; NULL gives zeros everywhere."""
     return df.withColumns({name: flag for name, flag in _one_hot(values)})
@@ -78,12 +84,9 @@ def feature_columns(values: dict[str, Sequence[str]]) -> list[str]:
     return HISTORY_FEATURES + KNOWN_AHEAD + [name for name, _ in _one_hot(values)]
 
 
-def feature_frame(
-    panel: DataFrame, calendar: DataFrame, inventory: DataFrame, values: dict[str, Sequence[str]]
-) -> DataFrame:
-    """Keys, target and all features of each panel row.
+def model_frame(panel: DataFrame, calendar: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Keys, target, numeric features and the category of each panel row.
 
-    ``values`` are the known warehouses and categories (see ``categories``).
     History comes first, on a panel pruned to the columns in use.  The category
     follows while rows are still placed by series; the calendar, bounded by
     warehouses times days, comes last.
@@ -91,7 +94,14 @@ def feature_frame(
     used = panel.select("unique_id", "date", "warehouse", "sales", "sell_price_main", *DISCOUNTS)
     frame = with_discount_total(with_history(used)).drop(*DISCOUNTS)
     frame = with_date_parts(with_calendar(with_category(frame, inventory), calendar))
-    frame = with_one_hot(frame, values)
+    return frame.select("unique_id", "date", "warehouse", "sales", CATEGORY, *HISTORY_FEATURES, *KNOWN_AHEAD)
+
+
+def feature_frame(
+    panel: DataFrame, calendar: DataFrame, inventory: DataFrame, values: dict[str, Sequence[str]]
+) -> DataFrame:
+    """The model's frame with 0/1 columns for the known warehouses and categories (see ``categories``)."""
+    frame = with_one_hot(model_frame(panel, calendar, inventory), values)
     return frame.select("unique_id", "date", "warehouse", "sales", *feature_columns(values))
 
 

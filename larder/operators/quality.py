@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scan import schema_drift
 from ..sources.tables import TableSpec
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
@@ -42,29 +43,13 @@ def _result(name: str, table: str, status: Column, details: Column) -> list[Colu
     ]
 
 
-def _type_fits(declared: T.DataType, actual: T.DataType) -> bool:
-    """Same family; any number but a boolean is acceptable as floating."""
-    if isinstance(declared, T.IntegralType):
-        return isinstance(actual, T.IntegralType)
-    if isinstance(declared, T.FractionalType):
-        return isinstance(actual, T.NumericType)
-    if isinstance(declared, T.DateType):
-        return isinstance(actual, (T.DateType, T.TimestampType, T.TimestampNTZType))
-    return type(declared) is type(actual)
-
-
-def schema_check(df: DataFrame, spec: TableSpec) -> DataFrame:
+def schema_check(df: DataFrame, spec: TableSpec, name: str | None = None) -> DataFrame:
     """Missing columns or another type family fail, extra columns warn.
 
-    Reads metadata only; the result has one row and costs no scan.
+    Reads metadata only; the result has one row and costs no scan.  Give it a
+    source as it is stored: a frame with the declared schema can only pass.
     """
-    actual = {f.name: f.dataType for f in df.schema}
-    declared = {f.name: f.dataType for f in spec.schema}
-    missing = [c for c in declared if c not in actual]
-    unexpected = [c for c in actual if c not in declared]
-    mismatched = {
-        c: actual[c].simpleString() for c in declared if c in actual and not _type_fits(declared[c], actual[c])
-    }
+    missing, unexpected, mismatched = schema_drift(df.schema, spec)
     status = FAIL if missing or mismatched else WARN if unexpected else PASS
     details = F.to_json(
         F.struct(
@@ -74,7 +59,7 @@ def schema_check(df: DataFrame, spec: TableSpec) -> DataFrame:
         )
     )
     row = df.sparkSession.range(1)
-    return row.select(*_result("schema", spec.name, F.lit(status), details))
+    return row.select(*_result("schema", name or spec.name, F.lit(status), details))
 
 
 def _texts(values: list[str]) -> Column:

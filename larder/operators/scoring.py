@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import half_up, ratio
+from ..functions.numeric import ratio
 
 
 def _pair(actual: str, predicted: str) -> tuple[Column, Column]:
@@ -72,7 +72,7 @@ def evaluate(predictions: DataFrame, holdout: DataFrame, weights: DataFrame) ->
     return scores.filter(overall | F.col("warehouse").isNotNull()).select(
         F.when(overall, "overall").otherwise("warehouse").alias("scope"),
         "warehouse",
-        *[half_up(_complete(F.col(m)), 6).alias(m) for m in ("wmape", "wmape_weighted", "mae", "rmse")],
+        *[_complete(F.col(m)).alias(m) for m in ("wmape", "wmape_weighted", "mae", "rmse")],
         "n_rows",
     )
 
@@ -94,5 +94,5 @@ def compare(models: DataFrame, candidate: str) -> DataFrame:
     return models.filter(F.col("model") != candidate).select(
         "model",
         "wmape",
-        half_up(own - F.col("wmape"), 4).alias("delta_wmape"),
+        (own - F.col("wmape")).alias("delta_wmape"),
     )

@@ -8,20 +8,19 @@ code with the Spark operators beyond the parameters of the registered queries.
 from __future__ import annotations
 
 from .. import __version__ as VERSION
-from ..operators.replenish import (
-    AVAILABILITY_ASSUMPTION, ENGINE_VERSION, GAP_ASSUMPTION, GAP_TEXT, MARGIN_ASSUMPTION, TIER_TEXT,
-)
-from .queries import MIN_HOLIDAY_ROWS, SCENARIOS, SURGE, SURGE_LABEL
+from .queries import LATEST_RUNS, MIN_HOLIDAY_ROWS, SCENARIOS, SURGE, SURGE_LABEL
 
 ORACLES: dict[str, str] = {}
 
+ENGINE_VERSION = "1.0.0"
+
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 DISCOUNTS = [f"type_{i}_discount" for i in range(7)]
 
 
 def up(value: str, places: int) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(38,6)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST({value} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
 
 
 def even(value: str, places: int) -> str:
@@ -229,8 +228,12 @@ _dense(
 )
 _dense(
     "s04_dim_seed",
-    """SELECT warehouse, warehouse NOT IN (SELECT warehouse FROM inventory WHERE l1_category_name_en IS NULL) AS inserted
-FROM (SELECT warehouse FROM panel UNION SELECT warehouse FROM ahead UNION SELECT warehouse FROM inventory
+    """SELECT CAST(run AS INTEGER) AS run,
+  CASE run WHEN 1 THEN (SELECT count(*) FROM first) WHEN 2 THEN (SELECT count(*) FROM everyone) - (SELECT count(*) FROM first) ELSE 0 END AS inserted,
+  (SELECT count(*) FROM everyone) AS members
+FROM (VALUES (1), (2), (3)) AS runs(run)""",
+    "first AS (SELECT DISTINCT warehouse FROM inventory WHERE unique_id % 100 = 1 AND warehouse <> '')",
+    """everyone AS (SELECT warehouse FROM panel UNION SELECT warehouse FROM ahead UNION SELECT warehouse FROM inventory
       UNION SELECT warehouse FROM calendar)""",
 )
 _dense(
@@ -252,19 +255,31 @@ _sparse(
     "SELECT unique_id, risk_tier, availability_data_gap FROM risk",
     *_FORECAST, *_RISK,
 )
-_LATEST = [type(SURGE)(1.2), type(SURGE)(0.8)]
+_MADE = " UNION ALL ".join(f"SELECT '{run.tag}' AS tag, TIMESTAMP '{made:%Y-%m-%d}' AS made" for run, made in LATEST_RUNS)
 _sparse(
     "s11_latest_artifact",
-    f"""SELECT scenario, DATE '2001-11-05' AS generated_at, count(*) AS series,
+    """SELECT scenario, CAST(made AS DATE) AS generated_at, count(*) AS series,
   CAST(sum(scenario_recommended_units) AS BIGINT) AS total_scenario_recommended_units
-FROM simulated WHERE scenario = '{_LATEST[1].tag}' GROUP BY scenario""",
-    *_FORECAST, *_RISK, *_simulated(_LATEST),
+FROM simulated JOIN made ON scenario = tag WHERE made = (SELECT max(made) FROM made) GROUP BY scenario, made""",
+    *_FORECAST, *_RISK, *_simulated([run for run, _ in LATEST_RUNS]), f"made AS ({_MADE})",
 )
 _sparse(
     "s13_summaries",
     """SELECT 'tier' AS summary, risk_tier AS item, count(*) AS series, CAST(NULL AS DOUBLE) AS units FROM risk GROUP BY risk_tier
 UNION ALL SELECT 'action', action, count(*), CAST(sum(recommended_units) AS DOUBLE) FROM recs GROUP BY action
-UNION ALL SELECT 'scenario', scenario, count(*), CAST(sum(scenario_recommended_units) AS DOUBLE) FROM simulated GROUP BY scenario""",
+UNION ALL SELECT 'scenario', scenario, count(*), CAST(sum(scenario_recommended_units) AS DOUBLE) FROM simulated GROUP BY scenario
+UNION ALL SELECT 'unmet', 'all', count(*), """
+    + up("sum(estimated_unmet_units)", 2)
+    + """ FROM risk
+UNION ALL SELECT 'top_unmet', CAST(unique_id AS VARCHAR), 1, """
+    + up("estimated_unmet_units", 2)
+    + """ FROM (SELECT * FROM risk WHERE risk_tier = 'HIGH'
+  ORDER BY estimated_unmet_units DESC NULLS LAST, forecast_units DESC NULLS LAST, unique_id LIMIT 10)
+UNION ALL SELECT 'top_ordered', CAST(unique_id AS VARCHAR), 1, CAST(recommended_units AS DOUBLE)
+FROM (SELECT * FROM recs WHERE recommended_units > 0 ORDER BY recommended_units DESC, unique_id LIMIT 10)
+UNION ALL SELECT 'top_increase', CAST(unique_id AS VARCHAR), 1, """
+    + up("unmet_units_delta", 2)
+    + f""" FROM (SELECT * FROM simulated WHERE scenario = '{SURGE.tag}' ORDER BY unmet_units_delta DESC, unique_id LIMIT 10)""",
     *_FORECAST, *_RISK, *_RECS, *_simulated(SCENARIOS),
 )
 
@@ -706,13 +721,15 @@ _dense(
 UNION ALL SELECT 'warehouse', warehouse, {_ALL_METRICS}, count(*) FROM {_pairs('average')} GROUP BY warehouse""",
     *_FORECAST,
 )
+_PLAIN_METRICS = ", ".join(f"{text} AS {name}" for name, text in _METRICS.items())
 _MODELS = f"""models AS (
-  SELECT 'seasonal_naive_7' AS model, {_ALL_METRICS}, count(*) AS n_rows FROM {_pairs('naive')}
-  UNION ALL SELECT 'moving_average_28', {_ALL_METRICS}, count(*) FROM {_pairs('average')})"""
-_dense("d08_model_table", "SELECT * FROM models", *_FORECAST, _MODELS)
+  SELECT 'seasonal_naive_7' AS model, {_PLAIN_METRICS}, count(*) AS n_rows FROM {_pairs('naive')}
+  UNION ALL SELECT 'moving_average_28', {_PLAIN_METRICS}, count(*) FROM {_pairs('average')})"""
+_ROUNDED_METRICS = ", ".join(f"{up(name, 6)} AS {name}" for name in _METRICS)
+_dense("d08_model_table", f"SELECT model, {_ROUNDED_METRICS}, n_rows FROM models", *_FORECAST, _MODELS)
 _dense(
     "m06_model_compare",
-    f"""SELECT m.model, m.wmape, {up('c.wmape - m.wmape', 4)} AS delta_wmape FROM models m, models c
+    f"""SELECT m.model, {up('m.wmape', 6)} AS wmape, {up('c.wmape - m.wmape', 4)} AS delta_wmape FROM models m, models c
 WHERE c.model = 'moving_average_28' AND m.model <> c.model""",
     *_FORECAST, _MODELS,
 )
@@ -728,6 +745,24 @@ _dense(
 FROM panel, edge""",
 )
 
+# --- boosted trees: what does not depend on the fit -----------------------------
+
+_dense("g01_boosted_trees", "SELECT unique_id, date, warehouse, sales AS actual, true AS finite FROM holdout", *_FORECAST)
+_INPUTS = [
+    *(f"lag_{k}" for k in (28, 35, 42, 56)), "rmean_7_lag28", "rmean_28_lag28", "sell_price_main", "discount_total", "dow",
+    "day_of_month", "month", "holiday", "shops_closed", "winter_school_holidays", "school_holidays",
+]
+_FLAGGED = [f"{name}_missing" for name in _INPUTS[:7]]
+_dense(
+    "g02_importance",
+    "SELECT feature, 1.0::DOUBLE AS total_importance FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS feature" for name in [*_INPUTS, *_FLAGGED, "warehouse_unknown", "l1_category_name_en_unknown"]
+    )
+    + " UNION ALL SELECT DISTINCT 'warehouse_' || warehouse FROM inventory"
+    " UNION ALL SELECT DISTINCT 'l1_category_name_en_' || l1_category_name_en FROM inventory WHERE l1_category_name_en IS NOT NULL)",
+)
+
 # --- decisions -----------------------------------------------------------------
 
 _RISK_TAIL = f"""{up('forecast_units', 6)} AS forecast_units, {up('recent_availability', 6)} AS recent_availability,
@@ -757,6 +792,21 @@ def _whole(value: str) -> str:
     return f"CAST(CAST(round_even({value}, 0) AS BIGINT) AS VARCHAR)"
 
 
+# The texts of a recommendation.
+GAP_TEXT = (
+    "Availability telemetry missing for series %s; no scarcity signal can be computed. "
+    "Fix the data feed before committing stock decisions."
+)
+TIER_TEXT = (
+    "Tier %s: forecast %s units over the horizon at %s observed availability; "
+    "assuming future availability equals recent, ~%s units would go unmet. "
+    "%s: recommend %s units (+%s safety margin, packed in %ss)."
+)
+GAP_ASSUMPTION = "ASSUMED: absent telemetry treated as fully available (inherited from the risk engine)"
+AVAILABILITY_ASSUMPTION = "ASSUMED: future availability = recent observed (%s)"
+MARGIN_ASSUMPTION = "ASSUMED: safety margin %s, pack size %s"
+
+
 def _filled(template: str, *values: str) -> str:
     """A %s template as a concatenation of its literal parts and SQL values."""
     parts = template.split("%s")
@@ -865,8 +915,14 @@ _sparse(
     "d04_kpis",
     f"""SELECT count(*) AS series, {up('sum(forecast_units)', 2)} AS total_forecast_units,
   {up('sum(estimated_unmet_units)', 2)} AS total_unmet_units, count(*) FILTER (WHERE risk_tier = 'HIGH') AS n_high,
-  count(*) FILTER (WHERE risk_tier = 'MEDIUM') AS n_medium, count(*) FILTER (WHERE risk_tier = 'LOW') AS n_low FROM risk""",
-    *_FORECAST, *_RISK,
+  count(*) FILTER (WHERE risk_tier = 'MEDIUM') AS n_medium, count(*) FILTER (WHERE risk_tier = 'LOW') AS n_low,
+  """
+    + ", ".join(
+        f"(SELECT count(*) FROM recs WHERE action = '{a}') AS n_{a}"
+        for a in ("replenish_now", "replenish_scheduled", "investigate_data", "monitor")
+    )
+    + """ FROM risk""",
+    *_FORECAST, *_RISK, *_RECS,
 )
 _sparse(
     "d05_top_high",
@@ -896,11 +952,16 @@ _dense(
     f"SELECT 'ingestion' AS kind, '{VERSION}' AS version, 'PASS' AS status, table_name, n AS n_rows FROM counted",
     _COUNTS,
 )
+_RAW = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem"]
+_SOUND = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in _RAW)
 _dense(
     "v01_schema",
-    """SELECT table_name, 'schema' AS check_name, 'PASS' AS status,
-  '{"missing_columns":[],"unexpected_columns":[],"dtype_mismatches":{}}' AS details FROM counted""",
-    _COUNTS,
+    """SELECT table_name, 'schema' AS check_name, CASE WHEN n > 0 THEN 'PASS' END AS status,
+  '{"missing_columns":[],"unexpected_columns":[],"dtype_mismatches":{}}' AS details FROM (SELECT * FROM counted UNION ALL SELECT * FROM sound)
+UNION ALL SELECT 'region:missing', 'schema', 'FAIL', '{"missing_columns":["r_name"],"unexpected_columns":[],"dtype_mismatches":{}}'
+UNION ALL SELECT 'region:mistyped', 'schema', 'FAIL', '{"missing_columns":[],"unexpected_columns":[],"dtype_mismatches":{"r_regionkey":"string"}}'
+UNION ALL SELECT 'region:extra', 'schema', 'WARN', '{"missing_columns":[],"unexpected_columns":["r_note"],"dtype_mismatches":{}}'""",
+    _COUNTS, f"sound AS ({_SOUND})",
 )
 ORACLES["s08_query_batch"] = " UNION ALL ".join(
     f"SELECT '{key}' AS question, (SELECT count(*) FROM ({sql})) AS n_rows, 'PASS' AS status, CAST(NULL AS VARCHAR) AS error"

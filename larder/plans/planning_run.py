@@ -57,17 +57,11 @@ class PlanningRun:
         load.require_no_orphans(self._read("tables/sales_train"), self._read("tables/inventory"), "unique_id")
         return statuses
 
-    def build_features(self) -> list[str]:
-        inventory = self._read("tables/inventory")
-        values = {
-            "warehouse": features.categories(inventory, "warehouse"),
-            features.CATEGORY: features.categories(inventory, features.CATEGORY),
-        }
-        frame = features.feature_frame(
-            self._read("tables/sales_train"), self._read("tables/calendar"), inventory, values
+    def build_features(self) -> None:
+        frame = features.model_frame(
+            self._read("tables/sales_train"), self._read("tables/calendar"), self._read("tables/inventory")
         )
         self._keep("features", frame)
-        return features.feature_columns(values)
 
     def forecast_baselines(self) -> None:
         history, holdout = features.history_and_holdout(self._read("tables/sales_train"))
@@ -77,8 +71,8 @@ class PlanningRun:
         self._keep("forecasts/seasonal_naive_7", baselines.seasonal_naive(profile, dates, holdout))
         self._keep("forecasts/moving_average_28", baselines.moving_average(profile, dates, holdout))
 
-    def forecast_boosted(self, names: Sequence[str]) -> boosting.BoostedForecast:
-        fitted = boosting.boosted_forecast(self._read("features"), names, self.boosting_params)
+    def forecast_boosted(self) -> boosting.BoostedForecast:
+        fitted = boosting.boosted_forecast(self._read("features"), self._read("tables/inventory"), self.boosting_params)
         self._keep("forecasts/boosted_trees", fitted.predictions, {"rounds": fitted.rounds})
         return fitted
 
@@ -102,11 +96,14 @@ class PlanningRun:
 
     def run(self, tables: dict[str, DataFrame], force: bool = False, boosted: bool = True) -> DataFrame:
         """All stages in order; the manifest of the run."""
-        self.check_and_load(tables, force)
+        refused = [s.table_name for s in self.check_and_load(tables, force) if s.outcome == load.NEEDS_FORCE]
+        if refused:
+            raise load.LoadRefused(f"stored tables of another row count: {', '.join(refused)}; use force to replace them")
         self.forecast_baselines()
         models = ["seasonal_naive_7", "moving_average_28"]
         if boosted:
-            self.forecast_boosted(self.build_features())
+            self.build_features()
+            self.forecast_boosted()
             models.append("boosted_trees")
         self.evaluate(models)
         self.decide(models[-1])

@@ -23,7 +23,7 @@ from ..session import settle, shared_folder
 from ..sources import artifacts, load
 from ..sources.panel import derive_panel
 from ..sources.scan import scan_csv
-from ..sources.tables import DISCOUNTS, TABLES
+from ..sources.tables import DISCOUNTS, ORDER_TABLES, TABLES
 from . import batch
 from .warehouse import Warehouse, open_warehouse
 
@@ -40,6 +40,11 @@ SCENARIOS = [
     whatif.Scenario(0.8, 0.0, 0.0),
 ]
 SURGE = SCENARIOS[1]
+# Two runs and when they were made: the later one has the name that sorts first.
+LATEST_RUNS = [
+    (whatif.Scenario(1.2), datetime(2001, 11, 4, tzinfo=timezone.utc)),
+    (whatif.Scenario(0.8), datetime(2001, 11, 5, tzinfo=timezone.utc)),
+]
 SURGE_LABEL = "demand +20%, promos +35.6%, availability +0.10"
 
 
@@ -91,9 +96,14 @@ def _(w):
 
 @_register("s04_dim_seed")
 def _(w):
-    present = w.inventory.filter(F.col("l1_category_name_en").isNull()).select("warehouse").distinct()
-    added = load.new_members([w.panel, w.sales_ahead, w.inventory, w.calendar], present)
-    return present.withColumn("inserted", F.lit(False)).unionByName(added.withColumn("inserted", F.lit(True)))
+    """Three runs over a stored dimension: of some sources, of all, and of all once more."""
+    path = _folder(w, "dimension")
+    some = [w.inventory.filter(F.col("unique_id") % 100 == 1)]
+    every = [w.panel, w.sales_ahead, w.inventory, w.calendar]
+    counts = [(run, load.seed_dimension(sources, path)) for run, sources in ((1, some), (2, every), (3, every))]
+    inserted = w.spark.createDataFrame(counts, "run int, inserted long")
+    stored = w.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return inserted.withColumn("members", stored)
 
 
 @_register("s05_verified_load")
@@ -146,16 +156,19 @@ def _(w):
 
 @_register("s11_latest_artifact", "sparse")
 def _(w):
-    """Of two simulation runs the one made later, not the one named later."""
-    older, newer = whatif.Scenario(1.2), whatif.Scenario(0.8)
-    day = {older.tag: "2001-11-04", newer.tag: "2001-11-05"}
-    runs = whatif.scenario_summary(whatif.apply_scenarios(w.risk, [older, newer]))
-    dated = runs.withColumn(
-        "generated_at",
-        F.when(F.col("scenario") == newer.tag, day[newer.tag]).otherwise(day[older.tag]).cast("date"),
-    )
-    return artifacts.latest(dated, "generated_at").select(
-        "scenario", "generated_at", "series", "total_scenario_recommended_units"
+    """Of two stored simulation runs the one made later, not the one named later."""
+    folder = _folder(w, "runs")
+    for scenario, made in LATEST_RUNS:
+        path = f"{folder}/{scenario.tag}"
+        rows = artifacts.write_artifact(whatif.apply_scenarios(w.risk, [scenario]), path)
+        row = artifacts.manifest_row(
+            w.spark, "simulation", {"rows": rows}, {"simulation": path}, "PASS", generated_at=made
+        )
+        artifacts.append_manifest(row, f"{folder}/_manifest")
+    newest = artifacts.latest_output(w.spark, f"{folder}/_manifest", "simulation")
+    return newest.groupBy("scenario", F.col("generated_at").cast("date").alias("generated_at")).agg(
+        F.count(F.lit(1)).alias("series"),
+        F.sum("scenario_recommended_units").alias("total_scenario_recommended_units"),
     )
 
 
@@ -184,8 +197,26 @@ def _(w):
         F.lit("scenario").alias("summary"), F.col("scenario").alias("item"), "series",
         F.col("total_scenario_recommended_units").cast("double").alias("units"),
     )
+    unmet = w.risk.agg(
+        F.lit("unmet").alias("summary"), F.lit("all").alias("item"), F.count(F.lit(1)).alias("series"),
+        half_up(F.sum("estimated_unmet_units"), 2).alias("units"),
+    )
+    ordered = w.recommendations.filter("recommended_units > 0").orderBy(
+        F.desc("recommended_units"), "unique_id").limit(10)
+    increased = whatif.top_increases(whatif.apply_scenarios(w.risk, [SURGE]))
+    listed = None
+    for label, rows, value in (
+        ("top_unmet", readside.top_high(w.risk), "estimated_unmet_units"),
+        ("top_ordered", ordered, "recommended_units"),
+        ("top_increase", increased, "unmet_units_delta"),
+    ):
+        lines = rows.select(
+            F.lit(label).alias("summary"), F.col("unique_id").cast("string").alias("item"),
+            F.lit(1).cast("long").alias("series"), half_up(F.col(value).cast("double"), 2).alias("units"),
+        )
+        listed = lines if listed is None else listed.unionByName(lines)
     path = _folder(w, "summary")
-    tiers.unionByName(actions).unionByName(runs).write.json(path)
+    tiers.unionByName(actions).unionByName(runs).unionByName(unmet).unionByName(listed).write.json(path)
     return w.spark.read.schema("summary string, item string, series long, units double").json(path)
 
 
@@ -194,10 +225,28 @@ def _(w):
 
 @_register("v01_schema")
 def _(w):
-    report = None
+    """Schemas as they are stored: the given files, the loaded tables, and three copies of region that drifted."""
+    folder = _folder(w, "drift")
+    region = w.raw("region")
+    drifted = {
+        "region:missing": region.drop("r_name"),
+        "region:mistyped": region.withColumn("r_regionkey", F.col("r_regionkey").cast("string")),
+        "region:extra": region.withColumn("r_note", F.lit("x")),
+    }
+    checks = []
+    for name, copy in drifted.items():
+        path = f"{folder}/{name.replace(':', '-')}"
+        copy.write.parquet(path)
+        checks.append(quality.schema_check(w.spark.read.parquet(path), ORDER_TABLES["region"], name))
+    for name, spec in ORDER_TABLES.items():
+        checks.append(quality.schema_check(w.spark.read.parquet(f"{w.sf_dir}/{name}.parquet"), spec))
     for name, spec in TABLES.items():
-        check = quality.schema_check(w.table(name), spec)
-        report = check if report is None else report.unionByName(check)
+        path = f"{folder}/{name}"
+        w.table(name).limit(1).write.parquet(path)
+        checks.append(quality.schema_check(w.spark.read.parquet(path), spec))
+    report = checks[0]
+    for check in checks[1:]:
+        report = report.unionByName(check)
     return report
 
 
@@ -396,37 +445,22 @@ def _(w):
 # --- metrics -----------------------------------------------------------------
 
 
-def _scored_pairs(w: Warehouse) -> DataFrame:
-    return scoring.pair_with_holdout(w.moving_average(), w.split[1], w.weights)
+_METRICS = ("wmape", "wmape_weighted", "mae", "rmse")
 
 
-def _one_metric(w: Warehouse, name: str, metric: Column) -> DataFrame:
-    return _scored_pairs(w).groupBy("warehouse").agg(half_up(metric, 6).alias(name))
+def _one_metric(w: Warehouse, name: str) -> DataFrame:
+    """Per warehouse, behind the evaluation's gate: nothing unpredicted, nothing without a weight."""
+    scores = scoring.evaluate(w.moving_average(), w.split[1], w.weights).filter("scope = 'warehouse'")
+    return _rounded(scores.select("warehouse", name), 6, name)
 
 
-@_register("m01_wmape", "sparse")
-def _(w):
-    return _one_metric(w, "wmape", scoring.wmape())
-
-
-@_register("m02_wmape_weighted", "sparse")
-def _(w):
-    return _one_metric(w, "wmape_weighted", scoring.wmape(weight="weight"))
-
-
-@_register("m03_mae", "sparse")
-def _(w):
-    return _one_metric(w, "mae", scoring.mae())
-
-
-@_register("m04_rmse", "sparse")
-def _(w):
-    return _one_metric(w, "rmse", scoring.rmse())
+for _key, _name in zip(("m01_wmape", "m02_wmape_weighted", "m03_mae", "m04_rmse"), _METRICS):
+    _register(_key, "sparse")(lambda w, name=_name: _one_metric(w, name))
 
 
 @_register("m05_eval_rollup")
 def _(w):
-    return scoring.evaluate(w.moving_average(), w.split[1], w.weights)
+    return _rounded(scoring.evaluate(w.moving_average(), w.split[1], w.weights), 6, *_METRICS)
 
 
 def _models(w: Warehouse) -> DataFrame:
@@ -441,7 +475,8 @@ def _models(w: Warehouse) -> DataFrame:
 
 @_register("m06_model_compare")
 def _(w):
-    return scoring.compare(settle(_models(w), "models"), "moving_average_28")
+    compared = scoring.compare(settle(_models(w), "models"), "moving_average_28")
+    return _rounded(_rounded(compared, 6, "wmape"), 4, "delta_wmape")
 
 
 @_register("m07_holdout_split")
@@ -463,6 +498,12 @@ def _(w):
 
 @_register("g01_boosted_trees")
 def _(w):
+    """What is determined about the boosted forecast: every holdout row has a finite prediction."""
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return w.boosted_predictions.select("unique_id", "date", "warehouse", "actual", finite.alias("finite"))
+
+
+def boosted_scores(w: Warehouse) -> DataFrame:
     """Errors of the boosted model next to the baselines on the same holdout."""
     boosted = scoring.evaluate(w.boosted_predictions, w.split[1], w.weights)
     return _models(w).unionByName(scoring.model_table({"boosted_trees": boosted}))
@@ -470,7 +511,10 @@ def _(w):
 
 @_register("g02_importance")
 def _(w):
-    return boosting.importances(w.boosted, w.features)
+    """The model's inputs, and the sum of their importances."""
+    table = boosting.importances(w.boosted, limit=None)
+    total = table.agg(half_up(F.sum("importance"), 6)).scalar()
+    return table.select("feature", total.alias("total_importance"))
 
 
 # --- decisions ---------------------------------------------------------------
@@ -592,8 +636,8 @@ def _(w):
 
 @_register("d01_series_lookup", "sparse")
 def _(w):
-    busiest = w.forecasts.agg(F.min("unique_id")).first()[0]
-    return _rounded(readside.series_forecast(w.forecasts, busiest).drop("method"), 6, "prediction")
+    smallest = w.forecasts.agg(F.min("unique_id")).scalar()
+    return _rounded(readside.series_forecast(w.forecasts, smallest).drop("method"), 6, "prediction")
 
 
 _RISK_LIST = ["unique_id", "name", "warehouse", "risk_tier", "estimated_unmet_units", "risk_fraction"]
@@ -612,7 +656,7 @@ def _(w):
 
 @_register("d04_kpis", "sparse")
 def _(w):
-    return readside.kpis(w.risk)
+    return readside.kpis(w.risk, w.recommendations)
 
 
 @_register("d05_top_high", "sparse")
@@ -632,7 +676,7 @@ def _(w):
 
 @_register("d08_model_table")
 def _(w):
-    return _models(w)
+    return _rounded(_models(w), 6, *_METRICS)
 
 
 @_register("d09_artifact_status", "sparse")

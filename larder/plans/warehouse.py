@@ -22,8 +22,8 @@ from ..sources import panel as derive
 from ..sources.scan import scan_parquet
 from ..sources.tables import ORDER_TABLES, TABLES
 
-# Fewer, larger steps than the learner's defaults: a trial fit, not a final one.
-TRIAL_BOOSTING = boosting.BoostingParams(max_rounds=20, learning_rate=0.15, max_depth=5)
+# Larger steps than the learner's default, so that the error comes to rest after fewer rounds.
+BOOSTING = boosting.BoostingParams(learning_rate=0.3, max_depth=5)
 
 # Order lines per bucket file; 100 TB of lines comes to some thousands of buckets.
 LINES_PER_BUCKET = 50_000_000
@@ -128,13 +128,15 @@ class Warehouse:
     @cached_property
     def features(self) -> DataFrame:
         return settle(
-            features.feature_frame(self.panel, self.calendar, self.inventory, self.one_hot_values), "features"
+            features.model_frame(self.panel, self.calendar, self.inventory), "features"
         )
 
     @cached_property
     def boosted(self) -> boosting.BoostedForecast:
-        names = features.feature_columns(self.one_hot_values)
-        return boosting.boosted_forecast(self.features, names, TRIAL_BOOSTING)
+        fitted = boosting.boosted_forecast(self.features, self.inventory, BOOSTING)
+        if not fitted.stopped:
+            raise boosting.RoundsExhausted(f"no rest within {BOOSTING.max_rounds} rounds")
+        return fitted
 
     @cached_property
     def boosted_predictions(self) -> DataFrame:

@@ -82,6 +82,15 @@ def latest(df: DataFrame, by: str, *group: str) -> DataFrame:
     return df.groupBy(*group).agg(newest).select("newest.*")
 
 
+def latest_output(spark: SparkSession, manifest: str, kind: str) -> DataFrame:
+    """The stored output of the newest run of a kind, found through the manifest."""
+    runs = read_artifact(spark, manifest, kind).filter(F.col("kind") == kind)
+    newest = latest(runs, "generated_at").select(F.col("outputs")[kind].alias("path"), "generated_at").first()
+    if newest is None or newest.path is None:
+        raise MissingArtifact(f"no {kind} run in {manifest}")
+    return read_artifact(spark, newest.path, kind).withColumn("generated_at", F.lit(newest.generated_at))
+
+
 def curated(df: DataFrame) -> DataFrame:
     """Lower-case columns; an unknown data-gap flag counts as no gap."""
     df = lower_case_columns(df)

@@ -6,8 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOADED, SKIPPED, NEEDS_FORCE = "loaded", "skipped", "needs_force"
 STATUS_SCHEMA = "table_name string, expected_rows long, actual_rows long, outcome string"
@@ -17,6 +18,10 @@ class LoadMismatch(RuntimeError):
     """The written table has another row count than its source."""
 
 
+class LoadRefused(RuntimeError):
+    """Stored tables differ from their sources and may not be replaced."""
+
+
 class OrphanRows(RuntimeError):
     """Fact rows refer to keys the dimension does not hold."""
 
@@ -44,6 +49,22 @@ def new_members(sources: list[DataFrame], dimension: DataFrame, column: str = "w
     return found.join(dimension.select(column), column, "left_anti")
 
 
+def seed_dimension(sources: list[DataFrame], path: str, column: str = "warehouse") -> int:
+    """Append the members that the stored dimension lacks; how many these were.
+
+    Nothing stored yet counts as an empty dimension.  A second run with the
+    same sources inserts none.
+    """
+    spark = sources[0].sparkSession
+    kind = sources[0].schema[column].dataType
+    schema = T.StructType([T.StructField(column, kind, True)])
+    stored = spark.read.schema(schema).parquet(path) if _stored_rows(spark, path) else spark.createDataFrame([], schema)
+    seen = Observation()
+    added = new_members(sources, stored, column).observe(seen, F.count(F.lit(1)).alias("n"))
+    added.write.mode("append").parquet(path)
+    return int(seen.get["n"])
+
+
 def orphan_rows(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Number of fact rows whose key the dimension lacks, NULL keys included."""
     per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

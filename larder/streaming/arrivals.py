@@ -1,9 +1,10 @@
 """Load source files as they arrive, each exactly once.
 
 The same idempotent load as ``sources.load``, for a folder that keeps growing:
-the stream's checkpoint remembers which files are in, a restart continues
-where the last run stopped, and ``availableNow`` ends the run once every
-waiting file is loaded.
+the stream's checkpoint remembers which files are in, and ``availableNow``
+ends the run once every waiting file is loaded.  Checkpoint and target belong
+together (the sink skips batch numbers it has seen), so the checkpoint stands
+next to the target and a later application continues where the last one stopped.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
 from ..sources.scan import without_nan
 from ..sources.tables import TABLES
 
@@ -30,7 +30,7 @@ def arriving_rows(spark: SparkSession, table: str, folder: str, files_per_batch:
 
 def load_arrivals(spark: SparkSession, table: str, folder: str, target: str, checkpoint: str | None = None) -> int:
     """Append all files that are new since the last call; rows now stored."""
-    place = checkpoint or f"{shared_folder(spark)}/arrivals-{table}"
+    place = checkpoint or f"{target.rstrip('/')}_checkpoint"
     query = (
         arriving_rows(spark, table, folder)
         .writeStream.format("parquet")

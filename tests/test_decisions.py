@@ -215,4 +215,9 @@ def test_lookups(frame):
     table = scenario_rows(frame)
     assert readside.risk_list(table, "HIGH", 2).count() == 2
     assert readside.gap_count(table).first().data_gaps == 1
-    assert readside.kpis(table).first().n_high == 3
+    indicators = readside.kpis(table, replenish.recommendations(table)).first()
+    assert indicators.n_high == 3 and indicators.n_replenish_now == 2
+    with pytest.raises(readside.UnknownValue, match="HGIH"):
+        readside.risk_list(table, "HGIH")
+    with pytest.raises(readside.UnknownValue, match="one of replenish_now"):
+        readside.recommendation_list(replenish.recommendations(table), "order")

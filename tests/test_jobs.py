@@ -7,7 +7,7 @@ from larder.operators import boosting, features
 from larder.plans import batch
 from larder.plans.warehouse import open_warehouse
 from larder.session import settle, shared_folder
-from larder.sources import artifacts, load
+from larder.sources import artifacts, load, scan
 from larder.sources.scan import MissingSource, scan_csv, scan_parquet
 from larder.sources.tables import TABLES
 
@@ -133,17 +133,73 @@ def test_boosting_trains_before_the_holdout_only(spark, frame):
         for s in (1, 2, 3) for i in range(140)
     ]
     schema = "unique_id long, date date, warehouse string, sales double, dow double, lag_28 double"
-    table = frame(rows, schema).withColumn("sell_price_main", F.lit(1.0))
-    params = boosting.BoostingParams(max_rounds=8, learning_rate=0.3, max_depth=3, min_rows_per_leaf=1)
+    table = frame(rows, schema).withColumns({"sell_price_main": F.lit(1.0), features.CATEGORY: F.lit("c")})
+    known = frame([("W", "c"), ("V", "d"), ("V", None)], f"warehouse string, {features.CATEGORY} string")
+    params = boosting.BoostingParams(max_rounds=8, patience=2, learning_rate=0.3, max_depth=3, min_rows_per_leaf=1)
     names = ["dow", "lag_28", "sell_price_main"]
-    fitted = boosting.boosted_forecast(table, names, params)
+    fitted = boosting.boosted_forecast(table, known, params, names)
     assert 1 <= fitted.rounds <= 8
     predictions = {(r.unique_id, r.date): r.prediction for r in fitted.predictions.collect()}
     assert len(predictions) == 3 * 28 and all(p == p for p in predictions.values())
-    assert "lag_28_missing" in fitted.inputs
+    inputs = [r.feature for r in fitted.inputs.orderBy("place").collect()]
+    assert inputs[:5] == [*names, "lag_28_missing", "sell_price_main_missing"]
+    assert inputs[5:8] == ["warehouse_unknown", "warehouse_V", "warehouse_W"] and len(inputs) == 11
     cutoff = date.fromordinal(start + 112)
     spiked = table.withColumn("sales", F.when(F.col("date") >= cutoff, 1e6).otherwise(F.col("sales")))
-    again = boosting.boosted_forecast(spiked, names, params)
+    again = boosting.boosted_forecast(spiked, known, params, names)
     assert {(r.unique_id, r.date): r.prediction for r in again.predictions.collect()} == predictions
-    top = boosting.importances(fitted, table).collect()
+    top = boosting.importances(fitted).collect()
     assert top[0].importance >= top[-1].importance
+
+
+def test_inputs_of_a_row_do_not_depend_on_labels(frame):
+    rows = [(1, float(i), None if i % 2 else 2.0, float(i)) for i in range(20)]
+    table = frame(rows, "unique_id long, sales double, lag_28 double, dow double")
+    filled, names = boosting.with_filled_gaps(table, ["lag_28", "dow"])
+    spiked, _ = boosting.with_filled_gaps(table.withColumn("sales", F.lit(1e6)), ["lag_28", "dow"])
+    assert names == ["lag_28", "dow", "lag_28_missing"]
+    assert filled.select(*names).collect() == spiked.select(*names).collect()
+
+
+def test_fitting_stops_once_the_error_rests():
+    assert boosting.first_stop([5, 4, 3, 3.5, 3.2, 2.9], 2) == 3
+    assert boosting.first_stop([5, 4, 3, 3.5, 2.9, 3], 2) is None
+    assert boosting.first_stop([1, 1, 1], 2) == 1
+    assert boosting.first_stop([], 2) is None
+
+
+def test_thousands_of_categories_are_inputs(spark):
+    known = spark.range(5000).select(F.lit("W").alias("warehouse"), F.format_string("c%05d", "id").alias(features.CATEGORY))
+    table = known.select("warehouse", features.CATEGORY, F.lit(1.0).alias("dow")).limit(50)
+    vectors, names = boosting.encoded(table, known, ["dow"])
+    assert names.count() == 1 + 2 + 5001
+    assert {r.inputs.size for r in vectors.select("inputs").collect()} == {5004}
+    assert all(len(r.inputs.indices) == 3 for r in vectors.select("inputs").collect())
+
+
+def test_a_drifted_parquet_source_fails(spark, tmp_path):
+    spec = TABLES["test_weights"]
+    for name, columns in {"missing": ["unique_id"], "mistyped": ["unique_id", "cast(weight AS string) AS weight"]}.items():
+        spark.range(1).selectExpr("id AS unique_id", "1.5D AS weight").selectExpr(*columns).write.parquet(f"{tmp_path}/{name}")
+        with pytest.raises(scan.SchemaDrift, match="weight"):
+            scan.scan_parquet(spark, spec, f"{tmp_path}/{name}")
+    spark.range(1).selectExpr("id AS unique_id", "1.5D AS weight", "'x' AS note").write.parquet(f"{tmp_path}/extra")
+    assert scan.scan_parquet(spark, spec, f"{tmp_path}/extra").columns == ["unique_id", "weight"]
+
+
+def test_a_dimension_grows_by_new_members_only(spark, frame, tmp_path):
+    path = f"{tmp_path}/dimension"
+    assert load.seed_dimension([frame([("A",), ("",), (None,)], "warehouse string")], path) == 1
+    assert load.seed_dimension([frame([("A",), ("B",)], "warehouse string"), frame([("C",)], "warehouse string")], path) == 2
+    assert load.seed_dimension([frame([("B",)], "warehouse string")], path) == 0
+    assert sorted(r.warehouse for r in spark.read.parquet(path).collect()) == ["A", "B", "C"]
+
+
+def test_the_latest_output_is_found_through_the_manifest(spark, tmp_path):
+    for name, day in (("z", 1), ("a", 2)):
+        artifacts.write_artifact(spark.range(day), f"{tmp_path}/{name}")
+        row = artifacts.manifest_row(spark, "run", {}, {"run": f"{tmp_path}/{name}"}, "PASS", generated_at=datetime(2024, 1, day))
+        artifacts.append_manifest(row, f"{tmp_path}/_manifest")
+    assert artifacts.latest_output(spark, f"{tmp_path}/_manifest", "run").count() == 2
+    with pytest.raises(artifacts.MissingArtifact):
+        artifacts.latest_output(spark, f"{tmp_path}/_manifest", "other")

@@ -15,6 +15,11 @@ def test_two_rounding_families(spark):
     assert one(spark, half_even(F.lit(2.5), 0)) == 2.0
 
 
+def test_values_just_below_a_tie_round_down(spark):
+    assert one(spark, half_up(F.lit(0.4999996), 0)) == 0.0
+    assert one(spark, half_up(F.lit(2.4999999), 0)) == 2.0
+
+
 def test_ratio_is_null_on_zero_denominator(spark):
     assert one(spark, ratio(F.lit(1.0), F.lit(0.0))) is None
     assert one(spark, ratio(F.lit(1.0), F.lit(4))) == 0.25

@@ -198,12 +198,10 @@ def test_temporal_split_has_28_day_parts(frame):
     assert (history.count(), holdout.count()) == (92, 28)
 
 
-def test_too_many_categories_are_refused(frame, monkeypatch):
-    monkeypatch.setattr(features, "MOST_CATEGORIES", 2)
-    df = frame([("a",), ("b",), (None,)], "c string")
+def test_categories_are_numbered_in_order(frame):
+    df = frame([("b",), ("a",), (None,), ("b",)], "c string")
     assert features.categories(df, "c") == ["a", "b"]
-    with pytest.raises(ValueError, match="c has more"):
-        features.categories(frame([("a",), ("b",), ("d",)], "c string"), "c")
+    assert {r.c: r.slot for r in features.category_index(df, "c").collect()} == {"a": 1, "b": 2}
 
 
 @pytest.mark.parametrize("slices", [2, 7, 64])
