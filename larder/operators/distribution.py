@@ -24,8 +24,10 @@ def _ranked(df: DataFrame, value: str, slices: int) -> DataFrame:
     counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("copies"))
     # The cut points come from the same counted shuffle, which runs once.
     cuts = counted.agg(F.percentile_approx(value, [i / slices for i in range(1, slices)], 10 * slices)).scalar()
-    # Never NULL, so no null check of it is pushed below the counting.
-    position = F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col(value))), F.lit(0))
+    # By bisection; never NULL, so no null check of it is pushed below the counting.
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(slices.bit_length()))])
+    below = lambda at, step: (at + step <= F.size("cuts")) & (F.get("cuts", at + step - 1) < F.col(value))
+    position = F.aggregate(steps, F.lit(0), lambda at, step: F.when(below(at, step), at + step).otherwise(at))
     sliced = counted.withColumn("cuts", cuts).select(value, "copies", position.alias("slice"))
     totals = sliced.groupBy("slice").agg(F.sum("copies").alias("slice_copies"))
     running = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)

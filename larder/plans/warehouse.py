@@ -25,11 +25,12 @@ from ..sources.tables import ORDER_TABLES, TABLES
 # Larger steps than the learner's default, so that the error comes to rest after fewer rounds.
 BOOSTING = boosting.BoostingParams(learning_rate=0.3, max_depth=5)
 
-# Order lines per bucket file; 100 TB of lines comes to some thousands of buckets.
-LINES_PER_BUCKET = 50_000_000
-MOST_BUCKETS = 20_000
+# Panel rows per bucket file, and the fewest buckets.
+ROWS_PER_BUCKET = 20_000_000
+FEWEST_BUCKETS = 8
 
 _open: dict[tuple[str, str, str], "Warehouse"] = {}
+_summed: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def open_warehouse(spark: SparkSession, sf_dir: str, grain: str = "dense") -> "Warehouse":
@@ -46,17 +47,27 @@ class Warehouse:
     def raw(self, name: str) -> DataFrame:
         return scan_parquet(self.spark, ORDER_TABLES[name], f"{self.sf_dir}/{name}.parquet")
 
-    def _buckets(self) -> int:
-        lines = self.raw("lineitem").count()
-        return min(MOST_BUCKETS, max(8, math.ceil(lines / LINES_PER_BUCKET)))
+    @cached_property
+    def _lines(self) -> tuple[DataFrame, DataFrame]:
+        """Order cells and volumes, read from the lines once for both grains."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _summed:
+            cells = settle(derive.order_cells(self.spark, self.sf_dir), "order-cells")
+            _summed[key] = cells, settle(derive.order_volume(self.spark, self.sf_dir), "order-volume")
+        return _summed[key]
+
+    def _buckets(self, rows: int, series: int) -> int:
+        """From the panel's own size; more buckets than series would stay empty."""
+        return max(FEWEST_BUCKETS, min(series, math.ceil(rows / ROWS_PER_BUCKET)))
 
     @cached_property
     def panel(self) -> DataFrame:
         name = f"larder_panel_{uuid.uuid4().hex[:12]}"
-        buckets = self._buckets()
+        derived = settle(derive.panel_of(*self._lines, self.grain), "derived-panel")
+        size = derived.groupBy("unique_id").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.count("*").alias("series")).first()
+        buckets = self._buckets(size.rows, size.series)
         (
-            derive.derive_panel(self.spark, self.sf_dir, self.grain)
-            .repartition(buckets, "unique_id")
+            derived.repartition(buckets, "unique_id")
             .write.bucketBy(buckets, "unique_id")
             .sortBy("unique_id", "date")
             .option("path", f"{shared_folder(self.spark)}/{name}")

@@ -58,33 +58,45 @@ def _in_regions(lines: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-def product_lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    """Order lines with their series id."""
+def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines summed up per region, part type, brand and day, the finest grain in use.
+
+    Sums, counts and maxima only, so coarser grains are sums of these rows and
+    the lines need not be read again.
+    """
     part = _scan(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    lines = _in_regions(_lines(spark, sf_dir), sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return lines.groupBy("warehouse", "r_regionkey", "p_type", "p_brand", "date").agg(
+        F.expr("sum(l_quantity) AS quantity"),
+        F.expr("max(l_extendedprice / l_quantity) AS top_price"),
+        F.expr("sum(IF(l_returnflag = 'R', 0D, 1D)) AS kept_lines"),
+        F.expr("count(1) AS n_lines"),
+        *[F.expr(f"max(l_discount + 0D) FILTER (WHERE l_linenumber % 7 = {i}) AS {n}") for i, n in enumerate(DISCOUNTS)],
+    )
+
+
+def order_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders per warehouse and day, over all products."""
     lines = _in_regions(_lines(spark, sf_dir), sf_dir)
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn("unique_id", _series_id(grain))
+    return lines.groupBy("warehouse", "date").agg(F.count_distinct("l_orderkey").alias("orders"))
 
 
 def derive_panel(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+    """The panel straight from the order lines."""
+    return panel_of(order_cells(spark, sf_dir), order_volume(spark, sf_dir), grain)
+
+
+def panel_of(order_cells: DataFrame, volume: DataFrame, grain: str) -> DataFrame:
     """One row per series and day with sales, price, availability, discounts.
 
     Fixed shares of rows carry a null target or a corrupt discount, so the
     quality checks and the null rules downstream have something to find.
     """
-    cells = product_lines(spark, sf_dir, grain).groupBy("unique_id", "date", "warehouse").agg(
-        F.expr("sum(l_quantity) AS quantity"),
-        F.expr("max(l_extendedprice / l_quantity) AS top_price"),
-        F.expr("avg(IF(l_returnflag = 'R', 0D, 1D)) AS availability"),
-        *[
-            F.expr(f"coalesce(max(l_discount + 0D) FILTER (WHERE l_linenumber % 7 = {i}), 0D) AS {name}")
-            for i, name in enumerate(DISCOUNTS)
-        ],
-    )
-    # Order volume is a warehouse-day figure: distinct orders over all products.
-    volume = (
-        _in_regions(_lines(spark, sf_dir), sf_dir)
-        .groupBy("warehouse", "date")
-        .agg(F.count_distinct("l_orderkey").alias("orders"))
+    cells = order_cells.withColumn("unique_id", _series_id(grain)).groupBy("unique_id", "date", "warehouse").agg(
+        F.expr("sum(quantity) AS quantity"),
+        F.expr("max(top_price) AS top_price"),
+        F.expr("sum(kept_lines) / sum(n_lines) AS availability"),
+        *[F.expr(f"coalesce(max({name}), 0D) AS {name}") for name in DISCOUNTS],
     )
     lost = "(unique_id * 31 + unix_date(date)) % 997 = 0"
     corrupt = "(unique_id * 17 + unix_date(date)) % 4999 = 0"
