@@ -51,9 +51,16 @@ class PlanningRun:
         return rows
 
     def check_and_load(self, tables: dict[str, DataFrame], force: bool = False) -> list[load.LoadStatus]:
-        """Validate the sources, then store them and verify the row counts."""
-        run_gate(self.spark, tables, self._path("validation"))
-        statuses = load.load_all(tables, self._path("tables"), force)
+        """Validate the sources, then store them and verify the row counts.
+
+        The sources are parsed once, into a staging copy that all checks and
+        the load read.
+        """
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(self._path(f"_staging/{name}"))
+        staged = {name: self._read(f"_staging/{name}") for name in tables}
+        run_gate(self.spark, staged, self._path("validation"))
+        statuses = load.load_all(staged, self._path("tables"), force)
         load.require_no_orphans(self._read("tables/sales_train"), self._read("tables/inventory"), "unique_id")
         return statuses
 
