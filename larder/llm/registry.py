@@ -126,3 +126,55 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op5_chat"] = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+),
+sized AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+        length('<turn role="">' || '</turn>' || chr(10))
+        + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '"', '&quot;'))
+        + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '"', '&quot;')) AS chars
+    FROM said
+),
+counted AS (
+    SELECT *, (chars + 3) // 4 AS tokens, place = 1 AND role = 'system' AS is_system FROM sized
+),
+placed AS (
+    SELECT *, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER line AS ends,
+        greatest(1, 768 - sum(CASE WHEN is_system THEN tokens ELSE 0 END) OVER line) AS capacity
+    FROM counted WINDOW line AS (PARTITION BY conv_id ORDER BY place)
+),
+celled AS (
+    SELECT *, CASE WHEN is_system THEN 0 ELSE (ends - tokens) // capacity END AS cell,
+        NOT is_system AND (ends - tokens) // capacity <> (ends - 1) // capacity AS crosses
+    FROM placed
+),
+opened AS (
+    SELECT *, place > 1 AND (cell, crosses) <> lag((cell, crosses)) OVER (PARTITION BY conv_id ORDER BY place) AS opens
+    FROM celled
+),
+repeated AS (
+    SELECT o.conv_id, o.place, h.chars,
+        sum(h.tokens) OVER (PARTITION BY o.conv_id, o.place ORDER BY h.place DESC) AS held
+    FROM opened o JOIN opened h ON h.conv_id IS NOT DISTINCT FROM o.conv_id AND h.place BETWEEN o.place - 4 AND o.place - 1
+    WHERE o.opens AND NOT h.is_system
+),
+extra AS (
+    SELECT conv_id, sum(chars) AS chars FROM (
+        SELECT conv_id, chars FROM repeated WHERE held <= 256
+        UNION ALL SELECT o.conv_id, s.chars FROM opened o JOIN opened s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+        WHERE o.opens AND s.is_system)
+    GROUP BY conv_id
+)
+SELECT o.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(o.chars) + coalesce(max(e.chars), 0) AS BIGINT) AS formatted_chars
+FROM opened o LEFT JOIN extra e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+GROUP BY o.conv_id
+"""
