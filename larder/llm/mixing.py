@@ -26,7 +26,7 @@ LABELLED = 20_000
 BUCKETS = 4_096
 SMOOTHING = 1.0
 #: Weight of the mean log-likelihood of a word: a document counts as so many independent words.
-EVIDENCE_WORDS = 30.0
+EVIDENCE_WORDS = 60.0
 
 STEPS = 48
 TOLERANCE = 1e-4
@@ -39,15 +39,16 @@ class Domain:
     name: str
     quality: int
     toxic: int
-    share: float
+    weight: float
 
 
-#: Domains by label, and their shares of the mixed tokens.
+#: Domains by label, and how much each shall weigh for each token it has.  Weights are relative to
+#: the corpus: fixed shares would repeat a domain without limit where little of it is left.
 DOMAINS = (
-    Domain("good", 1, 0, 0.90), Domain("good_toxic", 1, 1, 0.04), Domain("low", 0, 0, 0.05), Domain("low_toxic", 0, 1, 0.01),
+    Domain("good", 1, 0, 1.0), Domain("good_toxic", 1, 1, 0.8), Domain("low", 0, 0, 0.8), Domain("low_toxic", 0, 1, 0.7),
 )
 #: Tokens of the mix for each token given.
-BUDGET = 1.1
+BUDGET = 1.05
 
 
 def _total(columns: Sequence[Column]) -> Column:
@@ -126,18 +127,21 @@ def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 def rates(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET) -> DataFrame:
     """``members`` and the ``rate`` of each document.
 
-    The targets are the domains' shares of ``budget`` times all tokens.  Rates
-    are never negative; targets that no rates can meet are met as nearly as the
-    weighted least squares allow.
+    A domain's target is in proportion to its expected tokens times its weight;
+    all targets add up to ``budget`` times all tokens.  Rates are never
+    negative; targets that no rates can meet are met as nearly as the weighted
+    least squares allow.
     """
     numbers = range(len(domains))
     held = [F.col("tokens") * F.col(f"p{i}") for i in numbers]
     sums = members.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("all"),
+        *(F.coalesce(F.sum(held[i]), F.lit(0.0)).alias(f"h{i}") for i in numbers),
         *(F.coalesce(F.sum(held[i] * held[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in numbers for j in numbers if j <= i),
     ).first()
     gram = [[sums[f"g{max(i, j)}_{min(i, j)}"] for j in numbers] for i in numbers]
-    targets = [d.share * budget * sums["all"] for d in domains]
+    weighed = [d.weight * sums[f"h{i}"] for i, d in enumerate(domains)]
+    targets = [budget * sums["all"] * w / max(sum(weighed), 1e-300) for w in weighed]
     current, pending, before = members.withColumns({"rate": F.lit(1.0), "last_rate": F.lit(1.0)}), [], None
     for step in range(STEPS):
         moved = _after(current, pending, held)

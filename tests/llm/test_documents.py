@@ -329,8 +329,9 @@ def test_rates_meet_the_targets_as_least_squares_do(spark):
     tokens = rng.integers(0, 400, 300)
     rows = [(i, int(t), *map(float, row)) for i, (t, row) in enumerate(zip(tokens, p))]
     members = spark.createDataFrame(rows, "doc_id long, tokens long, p0 double, p1 double, p2 double, p3 double")
+    total = (tokens[:, None] * p).sum(0)
     for shares in ((0.9, 0.04, 0.05, 0.01), (0.0, 0.0, 0.5, 0.5), (0.25, 0.25, 0.25, 0.25)):
-        domains = [mixing.Domain(str(i), 0, 0, s) for i, s in enumerate(shares)]
+        domains = [mixing.Domain(str(i), 0, 0, float(s / t)) for i, (s, t) in enumerate(zip(shares, total))]
         rate = np.array([r.rate for r in mixing.rates(members, domains).orderBy("doc_id").collect()])
         a = (tokens[:, None] * p).T
         target = np.array(shares) * mixing.BUDGET * tokens.sum()
