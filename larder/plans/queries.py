@@ -7,7 +7,6 @@ comparison; the operators themselves return what they compute.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -150,7 +149,7 @@ def _(w):
         "availability_data_gap", F.when(F.col("availability_data_gap"), True)
     )
     path = _folder(w, "curated")
-    table = artifacts.reload_curated(shouting, f"larder_curated_{uuid.uuid4().hex[:12]}", path)
+    table = artifacts.reload_curated(shouting, "larder_curated_risk", path)
     return table.select("unique_id", "risk_tier", "availability_data_gap")
 
 

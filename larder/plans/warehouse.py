@@ -9,7 +9,7 @@ smaller is a plain Parquet copy.
 from __future__ import annotations
 
 import math
-import uuid
+import zlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +62,8 @@ class Warehouse:
 
     @cached_property
     def panel(self) -> DataFrame:
-        name = f"larder_panel_{uuid.uuid4().hex[:12]}"
+        # One name for each data folder and grain: a later application replaces the table, none pile up.
+        name = f"larder_panel_{self.grain}_{zlib.crc32(self.sf_dir.encode()):08x}"
         derived = settle(derive.panel_of(*self._lines, self.grain), "derived-panel")
         size = derived.groupBy("unique_id").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.count("*").alias("series")).first()
         buckets = self._buckets(size.rows, size.series)
@@ -70,6 +71,7 @@ class Warehouse:
             derived.repartition(buckets, "unique_id")
             .write.bucketBy(buckets, "unique_id")
             .sortBy("unique_id", "date")
+            .mode("overwrite")
             .option("path", f"{shared_folder(self.spark)}/{name}")
             .saveAsTable(name)
         )
