@@ -1,6 +1,7 @@
 """Operators on documents against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -163,6 +164,22 @@ def test_quality_rules(docs, doc_rows, no_docs):
     assert quality.judge(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.5, 0.8])
+def test_copies_of_one_text_do_not_move_the_bands(spark, share):
+    """One text is half, or 80 percent, of a language's rows; it weighs as much as in one row."""
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 8))) for _ in range(rng.randint(60, 120))) for _ in range(40)]
+    copies = round(len(texts) * share / (1 - share))
+    schema = "doc_id long, text string, lang string"
+    once = [(i, t, "en") for i, t in enumerate(texts)]
+    plain = quality.judge(spark.createDataFrame(once, schema)).collect()
+    hot = quality.judge(spark.createDataFrame(once + [(1000 + i, texts[0], "en") for i in range(copies)], schema).repartition(4)).collect()
+    bands = {(round(r.lower_band, 9), round(r.upper_band, 9)) for r in plain}
+    assert len(bands) == 1 and {(round(r.lower_band, 9), round(r.upper_band, 9)) for r in hot} == bands
+    kept = {r.doc_id: r.kept for r in plain}
+    assert {r.doc_id: r.kept for r in hot} == kept | {1000 + i: kept[0] for i in range(copies)}
+
+
 def test_kneser_ney_probabilities_equal_a_plain_computation(spark):
     """Modified Kneser-Ney of order 5 on short texts, all orders by hand."""
     from larder.llm import ngrams
