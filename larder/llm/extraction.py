@@ -37,6 +37,7 @@ INLINE = frozenset(
     " strong sub sup time tt u var".split())
 UNSEEN = frozenset("head script style noscript template iframe object svg math select option textarea".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr li main menu nav ol p pre section table ul".split())
@@ -63,7 +64,14 @@ def leaf_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool]]:
             pieces.clear()
             linked[0] = linked[1] = 0
 
+    def leave_head() -> None:
+        """A page may leave out </head>: what cannot stand in a head ends it."""
+        if stack and stack[-1][0] == "head":
+            close(len(stack) - 1)
+
     def add(raw: str) -> None:
+        if raw.strip():
+            leave_head()
         if raw and not hidden:
             pieces.append(unescape(raw))
             if raw.strip():
@@ -99,6 +107,8 @@ def leaf_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool]]:
             elif index is not None and all(t in INLINE for t, _ in stack[index:]):
                 close(index)
             continue
+        if tag not in IN_HEAD:
+            leave_head()
         if tag == "br":
             pieces.append(" ")
             continue

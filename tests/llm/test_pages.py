@@ -189,3 +189,22 @@ def test_control_conversation(spark, small_data):
     row = chat.digests(conversations(spark, small_data)).where("conv_id = -7").first()
     assert (row.n_turns, row.loss_chars) == (2, len(CONTROL_TEXT))
     assert row.loss_sha256 == hashlib.sha256(b"\\### Assistant: </turn> ok").hexdigest()
+
+
+@pytest.mark.parametrize("start", ["<body>", "<body class=x>", "", "<p>", "<br>", "x "])
+def test_head_without_end_tag_hides_nothing_of_the_body(start):
+    """HTML allows </head> to be left out; only what can stand in a head belongs to it."""
+    head = '<html><head><meta charset="utf-8"><title>T</title><style>p {}</style><template><div>no</div></template>\n'
+    body = f"{start}<article><h1>A</h1><p>One two three.</p></article></body></html>"
+    texts = [t for t, _, _ in extraction.leaf_blocks(head + body)]
+    assert texts == [t for t, _, _ in extraction.leaf_blocks(head + "</head>" + body)]
+    assert texts[-2:] == ["A", "One two three."]
+
+
+def test_article_of_a_page_without_head_end_is_kept():
+    field = extraction.trained_field()
+    pages = [html for html, _ in labelled_pages(20, 77)]
+    assert all("</head>" in html for html in pages)
+    for html in pages:
+        expected = extraction.main_text(html, field)
+        assert expected and extraction.main_text(html.replace("</head>", ""), field) == expected
