@@ -81,3 +81,13 @@ def test_a_later_application_loads_only_what_is_new(spark, tmp_path):
     for _ in range(2):
         done = subprocess.run([sys.executable, "-c", code, inbox, target], cwd=ROOT, capture_output=True, text=True, timeout=300)
         assert "rows 2" in done.stdout, done.stderr[-2000:]
+
+
+def test_queries_fit_the_declared_trees():
+    """Only the rate differs from the published settings (README)."""
+    from dataclasses import replace
+
+    from larder.plans.warehouse import BOOSTING
+
+    declared = boosting.BoostingParams()
+    assert replace(BOOSTING, learning_rate=declared.learning_rate) == declared
