@@ -1,7 +1,8 @@
-"""Order-insensitive comparison of a Spark result with its SQL counterpart."""
+"""Order-insensitive comparison of a Spark result with its SQL counterpart, and runs of days."""
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from pathlib import Path
 
 import duckdb
@@ -42,3 +43,8 @@ def differences(spark_df, connection, sql: str, limit: int = 3) -> list[str]:
         if unequal:
             found.append(f"{len(unequal)} unequal rows")
     return found
+
+
+def days(start: str, count: int) -> list[date]:
+    first = date.fromisoformat(start)
+    return [first + timedelta(days=i) for i in range(count)]

@@ -1,5 +1,4 @@
 import sys
-from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -32,8 +31,3 @@ def frame(spark):
         return spark.createDataFrame(rows, schema)
 
     return make
-
-
-def days(start: str, count: int) -> list[date]:
-    first = date.fromisoformat(start)
-    return [first + timedelta(days=i) for i in range(count)]

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import days
+from compare import days
 from pyspark.sql import functions as F
 
 from larder.operators import readside, replenish, risk, whatif

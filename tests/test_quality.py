@@ -2,7 +2,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import days
+from compare import days
 from pyspark.sql import types as T
 
 from larder.operators import quality

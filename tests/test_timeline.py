@@ -2,7 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import days
+from compare import days
 
 from larder.operators import baselines, features, timeline
 from larder.operators.distribution import discrete_percentiles
