@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, chat, chunks, exact, extraction, mixing, quality, secret_spans, sharding, simhash, warc
+from . import bpe, chat, chunks, exact, extraction, mixing, quality, secret_spans, sharding, simhash, spelling, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +128,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 @register
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans.scan(table(spark, sf_dir, "documents"))
