@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, chat, chunks, exact, extraction, mixing, quality, secret_spans, sharding, simhash, spelling, warc
+from . import bpe, chat, chunks, exact, extraction, mixing, quality, ranking, secret_spans, sharding, simhash, spelling, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +138,45 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans.scan(table(spark, sf_dir, "documents"))
 
 
+@register
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_ranking"] = r"""
+WITH split AS (
+    SELECT doc_id, row_number() OVER () AS row_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS found
+    FROM documents
+),
+sized AS (SELECT *, len(found) AS n FROM split WHERE len(found) > 0),
+whole AS (SELECT count(*) AS documents, sum(n)::BIGINT AS total FROM sized),
+counted AS (SELECT row_id, doc_id, n, term, count(*) AS tf FROM (SELECT row_id, doc_id, n, unnest(found) AS term FROM sized) GROUP BY ALL),
+weighed AS (
+    SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counted, whole GROUP BY term
+),
+asked AS (
+    SELECT item_id, row_id, term FROM (
+        SELECT item_id, row_number() OVER () AS row_id,
+            unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+        FROM benchmark)
+),
+scored AS (
+    SELECT a.item_id, a.row_id AS item_row, c.row_id, c.doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // total))))::BIGINT AS score
+    FROM asked a JOIN weighed USING (term) JOIN counted c USING (term), whole
+    GROUP BY ALL
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 ORACLES["op5_chat"] = """
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

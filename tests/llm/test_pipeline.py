@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, small_data, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_equals_its_stages_done_plainly(spark, small_data):
