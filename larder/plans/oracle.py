@@ -752,12 +752,11 @@ _INPUTS = [
     *(f"lag_{k}" for k in (28, 35, 42, 56)), "rmean_7_lag28", "rmean_28_lag28", "sell_price_main", "discount_total", "dow",
     "day_of_month", "month", "holiday", "shops_closed", "winter_school_holidays", "school_holidays",
 ]
-_FLAGGED = [f"{name}_missing" for name in _INPUTS[:7]]
 _dense(
     "g02_importance",
     "SELECT feature, 1.0::DOUBLE AS total_importance FROM ("
     + " UNION ALL ".join(
-        f"SELECT '{name}' AS feature" for name in [*_INPUTS, *_FLAGGED, "warehouse_unknown", "l1_category_name_en_unknown"]
+        f"SELECT '{name}' AS feature" for name in [*_INPUTS, "warehouse_unknown", "l1_category_name_en_unknown"]
     )
     + " UNION ALL SELECT DISTINCT 'warehouse_' || warehouse FROM inventory"
     " UNION ALL SELECT DISTINCT 'l1_category_name_en_' || l1_category_name_en FROM inventory WHERE l1_category_name_en IS NOT NULL)",

@@ -53,13 +53,6 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{configured.rstrip('/')}/{context.applicationId}"
 
 
-def use_shared_checkpoints(spark: SparkSession) -> None:
-    """Iterative learners cut their lineage by checkpoints; give them the shared folder if none is set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-
-
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared folder and continue from the copy.
 

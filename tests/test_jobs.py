@@ -1,9 +1,10 @@
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from larder.operators import boosting, features
+from larder.operators import boosting, features, trees
 from larder.plans import batch
 from larder.plans.warehouse import open_warehouse
 from larder.session import settle, shared_folder
@@ -142,23 +143,85 @@ def test_boosting_trains_before_the_holdout_only(spark, frame):
     predictions = {(r.unique_id, r.date): r.prediction for r in fitted.predictions.collect()}
     assert len(predictions) == 3 * 28 and all(p == p for p in predictions.values())
     inputs = [r.feature for r in fitted.inputs.orderBy("place").collect()]
-    assert inputs[:5] == [*names, "lag_28_missing", "sell_price_main_missing"]
-    assert inputs[5:8] == ["warehouse_unknown", "warehouse_V", "warehouse_W"] and len(inputs) == 11
+    assert inputs[:3] == names
+    assert inputs[3:6] == ["warehouse_unknown", "warehouse_V", "warehouse_W"] and len(inputs) == 9
     cutoff = date.fromordinal(start + 112)
     spiked = table.withColumn("sales", F.when(F.col("date") >= cutoff, 1e6).otherwise(F.col("sales")))
     again = boosting.boosted_forecast(spiked, known, params, names)
     assert {(r.unique_id, r.date): r.prediction for r in again.predictions.collect()} == predictions
     top = boosting.importances(fitted).collect()
     assert top[0].importance >= top[-1].importance
+    assert sum(r.importance for r in boosting.importances(fitted, limit=None).collect()) == pytest.approx(1)
 
 
-def test_inputs_of_a_row_do_not_depend_on_labels(frame):
-    rows = [(1, float(i), None if i % 2 else 2.0, float(i)) for i in range(20)]
-    table = frame(rows, "unique_id long, sales double, lag_28 double, dow double")
-    filled, names = boosting.with_filled_gaps(table, ["lag_28", "dow"])
-    spiked, _ = boosting.with_filled_gaps(table.withColumn("sales", F.lit(1e6)), ["lag_28", "dow"])
-    assert names == ["lag_28", "dow", "lag_28_missing"]
-    assert filled.select(*names).collect() == spiked.select(*names).collect()
+def model_rows(frame, count=400):
+    rows = [
+        (i // 20, date.fromordinal(738_000 + i % 20), float(10 * (i % 5) + (i * 7) % 11 % 3 + (40 if i % 6 == 0 else 0)), "validation" if i % 20 > 15 else "train",
+         float(i % 5), None if i % 6 == 0 else float((i * 7) % 11), i % 3, i % 2)
+        for i in range(count)
+    ]
+    return frame(rows, "unique_id long, date date, sales double, split string, a double, b double, warehouse_slot int, l1_category_name_en_slot int")
+
+
+def test_a_search_fits_its_rounds_and_the_patience_and_nothing_twice(frame):
+    """Trees grow one by one: the error of each round is that of the trees so far, and the final model has the best rounds."""
+    table, names, sizes = model_rows(frame), ["a", "b"], (3, 2)
+    params = boosting.BoostingParams(max_rounds=120, patience=3, learning_rate=0.6, max_depth=3, min_rows_per_leaf=2)
+    model, rounds, stopped, errors = boosting._search(table, names, sizes, params)
+    assert stopped and len(errors) == rounds + params.patience and len(model.trees) == rounds == errors.index(min(errors)) + 1
+    assert rounds > 3 and errors[rounds - 1] < errors[0] / 2
+    again, rounds_again, _, errors_again = boosting._search(table.repartition(5), names, sizes, params)
+    assert (rounds_again, errors_again) == (rounds, errors)
+    assert [t.value.tolist() for t in again.trees] == [t.value.tolist() for t in model.trees]
+    assert sum(model.importances()) == pytest.approx(1) and len(model.importances()) == 7
+    few, shortest, ended, _ = boosting._search(table, names, sizes, boosting.BoostingParams(max_rounds=2, patience=3, max_depth=2))
+    assert not ended and shortest == len(few.trees) == 2
+    with pytest.raises(ValueError, match="labelled"):
+        boosting._search(table.filter("split = 'train'"), names, sizes, params)
+
+
+@pytest.mark.parametrize("few_rows", [trees.FEW_ROWS, 60, 0])
+def test_trees_equal_exhaustive_search_however_large_their_nodes(frame, few_rows):
+    """Every split of a grown tree is the best of all cuts, sides for missing values and categories; no matter which jobs found it."""
+    table, sizes = model_rows(frame).repartition(3), (3, 2)
+    how = boosting.binned(table, ["a", "b"], sizes)
+    blocks = boosting.settle(boosting._blocks(table, how, 0.0), "test-blocks")
+    rules = trees.Rules(3, 5, 1.0, 1.0, 1)
+    tree, error, n = trees.Grower(blocks, 400, how.inputs, rules, (0, 1), 1, 0.1, 1024.0, few_rows).grow([], 0)
+    rows = table.collect()
+    assert n == sum(r.split == "validation" for r in rows)
+    assert error == pytest.approx(sum(abs(r.sales) for r in rows if r.split == "validation"))
+    candidates = [(name, cut, left) for name in "ab" for cut in range(-1, 11) for left in (True, False)]
+    candidates += [(c, v, None) for c, k in (("warehouse_slot", 3), ("l1_category_name_en_slot", 2)) for v in range(k)]
+
+    def squared(group):
+        return sum(r.sales for r in group) ** 2 / len(group)
+
+    def check(node, group):
+        best = 0.0
+        for name, at, left in candidates:
+            right = [r for r in group if (r[name] == at if left is None else not left if r[name] is None else r[name] > at)]
+            rest = [r for r in group if r not in right]
+            if len(right) >= 5 and len(rest) >= 5:
+                best = max(best, squared(right) + squared(rest) - squared(group))
+        if node.bit_length() > 3 or best < 1e-6:
+            assert tree.place[node] < 0 and tree.value[node] == pytest.approx(sum(r.sales for r in group) / len(group))
+            return
+        assert tree.gain[node] == pytest.approx(best)
+        place = tree.place[node]
+        if place < 2:
+            name, bound = "ab"[place], how.bounds[place][min(tree.cut[node], len(how.bounds[place]) - 1)]
+            goes = lambda r: not tree.missing_left[node] if r[name] is None else r[name] > bound if tree.cut[node] < len(how.bounds[place]) else False
+        else:
+            goes = lambda r: r.warehouse_slot == place - 2 if place < 5 else r.l1_category_name_en_slot == place - 5
+        check(2 * node, [r for r in group if not goes(r)])
+        check(2 * node + 1, [r for r in group if goes(r)])
+
+    check(1, rows)
+    scored = boosting.BoostedTrees(how, 1.0, 0.5, [tree, tree]).transform(table).collect()
+    ends = tree.walk(how.bins(pa.RecordBatch.from_pandas(table.toPandas())), how.inputs)
+    by_key = {(r.unique_id, r.date): tree.value[e] for r, e in zip(rows, ends)}
+    assert all(r.prediction == pytest.approx(1.0 + by_key[r.unique_id, r.date]) for r in scored)
 
 
 def test_fitting_stops_once_the_error_rests():
@@ -171,10 +234,9 @@ def test_fitting_stops_once_the_error_rests():
 def test_thousands_of_categories_are_inputs(spark):
     known = spark.range(5000).select(F.lit("W").alias("warehouse"), F.format_string("c%05d", "id").alias(features.CATEGORY))
     table = known.select("warehouse", features.CATEGORY, F.lit(1.0).alias("dow")).limit(50)
-    vectors, names = boosting.encoded(table, known, ["dow"])
-    assert names.count() == 1 + 2 + 5001
-    assert {r.inputs.size for r in vectors.select("inputs").collect()} == {5004}
-    assert all(len(r.inputs.indices) == 3 for r in vectors.select("inputs").collect())
+    rows, names, sizes = boosting.coded(table, known, ["dow"])
+    assert names.count() == 1 + 2 + 5001 and sizes == (2, 5001)
+    assert sorted(r[0] for r in rows.select(f"{features.CATEGORY}_slot").collect()) == list(range(1, 51))
 
 
 def test_a_drifted_parquet_source_fails(spark, tmp_path):
