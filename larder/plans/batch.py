@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import Event, Timer
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,43 +17,89 @@ from ..sources.artifacts import append_manifest, manifest_row, write_artifact
 from ..sources.tables import TABLES
 
 BATCH_SCHEMA = "question string, n_rows long, status string, error string"
+#: Questions that run at the same time, and seconds after which one is cancelled.
+CONCURRENT = 6
+TIME_LIMIT = 3600.0
 
 
 class BatchFailed(RuntimeError):
     """At least one question of the batch failed."""
 
 
+class TimeLimitExceeded(RuntimeError):
+    """A question ran longer than it may."""
+
+
+def _run_question(spark: SparkSession, name: str, question: Callable[[], DataFrame], path: str, time_limit: float) -> int:
+    """Rows written; the question's jobs share a tag of their own and are cancelled with it once its time is over."""
+    tag = f"question-{name}-{uuid.uuid4().hex}"
+    over = Event()
+
+    def cancel() -> None:
+        over.set()
+        spark.sparkContext.cancelJobsWithTag(tag)
+
+    spark.sparkContext.addJobTag(tag)
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)  # a fair pool each, where the scheduler is fair
+    watch = Timer(time_limit, cancel)
+    watch.start()
+    try:
+        rows = write_artifact(question(), path, mode="overwrite")
+    except Exception as error:
+        if over.is_set():
+            raise TimeLimitExceeded(f"cancelled after {time_limit:g} s") from error
+        raise
+    finally:
+        watch.cancel()
+        spark.sparkContext.removeJobTag(tag)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    if over.is_set():
+        raise TimeLimitExceeded(f"cancelled after {time_limit:g} s")
+    return rows
+
+
 def run_questions(
-    spark: SparkSession, questions: Mapping[str, Callable[[], DataFrame]], folder: str
+    spark: SparkSession, questions: Mapping[str, Callable[[], DataFrame]], folder: str, concurrent: int = CONCURRENT, time_limit: float = TIME_LIMIT
 ) -> DataFrame:
-    """Run every question in name order and keep going past failures.
+    """Run every question, several at a time, and keep going past failures.
 
-    One row per question: rows written and status.  Results land in
-    ``folder/<question>``, one manifest row covers the batch.
+    One row per question, in name order: rows written and status.  A question
+    beyond its time limit is cancelled and fails.  Results land in
+    ``folder/<question>``, the seconds each took in ``folder/_times``, and one
+    manifest row covers the batch.
     """
-    outcome, outputs = [], {}
-    for name in sorted(questions):
-        path = f"{folder}/{name}"
+    outcome, outputs, times = {}, {}, {}
+
+    def answer(name: str) -> None:
+        path, began = f"{folder}/{name}", time.monotonic()
         try:
-            rows = write_artifact(questions[name](), path, mode="overwrite")
+            rows = _run_question(spark, name, questions[name], path, time_limit)
         except Exception as error:  # a failed question must not stop the others
-            outcome.append((name, None, "FAIL", f"{type(error).__name__}: {str(error).splitlines()[0]}"))
+            outcome[name] = (name, None, "FAIL", f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}")
         else:
-            outcome.append((name, rows, "PASS", None))
+            outcome[name] = (name, rows, "PASS", None)
             outputs[name] = path
-    failed = [name for name, _, status, _ in outcome if status == "FAIL"]
+        times[name] = time.monotonic() - began
+
+    with ThreadPoolExecutor(concurrent) as pool:
+        list(pool.map(inheritable_thread_target(spark)(answer), sorted(questions)))
+    ordered = [outcome[name] for name in sorted(questions)]
+    if ordered:
+        seconds = spark.createDataFrame([(n, times[n], outcome[n][2]) for n in sorted(questions)], "question string, seconds double, status string")
+        seconds.coalesce(1).write.mode("overwrite").parquet(f"{folder}/_times")
+    failed = [name for name, _, status, _ in ordered if status == "FAIL"]
     append_manifest(
         manifest_row(
             spark,
             "question_batch",
-            {name: rows for name, rows, status, _ in outcome if status == "PASS"},
+            {name: rows for name, rows, status, _ in ordered if status == "PASS"},
             outputs,
             "FAIL" if failed else "PASS",
             ", ".join(failed),
         ),
         f"{folder}/_manifest",
     )
-    return spark.createDataFrame(outcome, BATCH_SCHEMA)
+    return spark.createDataFrame(ordered, BATCH_SCHEMA)
 
 
 def require_success(batch: DataFrame) -> None:

@@ -42,6 +42,9 @@ class PlanningRun:
     def _read(self, stage: str) -> DataFrame:
         return artifacts.read_artifact(self.spark, self._path(stage), stage)
 
+    def _table(self, name: str) -> DataFrame:
+        return load.loaded_table(self.spark, self._path(f"tables/{name}"))
+
     def _keep(self, stage: str, output: DataFrame, inputs: dict[str, int] | None = None) -> int:
         rows = artifacts.write_artifact(output, self._path(stage), mode="overwrite")
         row = artifacts.manifest_row(
@@ -61,17 +64,17 @@ class PlanningRun:
         staged = {name: self._read(f"_staging/{name}") for name in tables}
         run_gate(self.spark, staged, self._path("validation"))
         statuses = load.load_all(staged, self._path("tables"), force)
-        load.require_no_orphans(self._read("tables/sales_train"), self._read("tables/inventory"), "unique_id")
+        load.require_no_orphans(self._table("sales_train"), self._table("inventory"), "unique_id")
         return statuses
 
     def build_features(self) -> None:
         frame = features.model_frame(
-            self._read("tables/sales_train"), self._read("tables/calendar"), self._read("tables/inventory")
+            self._table("sales_train"), self._table("calendar"), self._table("inventory")
         )
         self._keep("features", frame)
 
     def forecast_baselines(self) -> None:
-        history, holdout = features.history_and_holdout(self._read("tables/sales_train"))
+        history, holdout = features.history_and_holdout(self._table("sales_train"))
         baselines.check_history(history)
         self._keep("profile", baselines.series_profile(history))
         profile, dates = self._read("profile"), baselines.horizon_dates(holdout)
@@ -79,21 +82,21 @@ class PlanningRun:
         self._keep("forecasts/moving_average_28", baselines.moving_average(profile, dates, holdout))
 
     def forecast_boosted(self) -> boosting.BoostedForecast:
-        fitted = boosting.boosted_forecast(self._read("features"), self._read("tables/inventory"), self.boosting_params)
+        fitted = boosting.boosted_forecast(self._read("features"), self._table("inventory"), self.boosting_params)
         self._keep("forecasts/boosted_trees", fitted.predictions, {"rounds": fitted.rounds})
         return fitted
 
     def evaluate(self, models: Sequence[str]) -> None:
-        _, holdout = features.history_and_holdout(self._read("tables/sales_train"))
-        weights = self._read("tables/test_weights")
+        _, holdout = features.history_and_holdout(self._table("sales_train"))
+        weights = self._table("test_weights")
         scored = {m: scoring.evaluate(self._read(f"forecasts/{m}"), holdout, weights) for m in models}
         self._keep("evaluation", scoring.model_table(scored))
 
     def decide(self, model: str) -> None:
         """Risk, recommendations and scenarios on one model's forecasts."""
-        forecasts, inventory = self._read(f"forecasts/{model}"), self._read("tables/inventory")
+        forecasts, inventory = self._read(f"forecasts/{model}"), self._table("inventory")
         start = forecasts.agg(F.min("date")).scalar()
-        seen = risk.recent_availability(self._read("tables/sales_train"), start)
+        seen = risk.recent_availability(self._table("sales_train"), start)
         self._keep("risk", risk.with_product(risk.stockout_risk(forecasts, seen), inventory))
         self._keep("recommendations", replenish.recommendations(self._read("risk")))
         whatif.identity_gate(self._read("risk")).collect()

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import snapshots
+from .artifacts import MissingArtifact
+
 LOADED, SKIPPED, NEEDS_FORCE = "loaded", "skipped", "needs_force"
 STATUS_SCHEMA = "table_name string, expected_rows long, actual_rows long, outcome string"
 
@@ -96,24 +99,33 @@ def _stored_rows(spark: SparkSession, path: str) -> int:
 
 
 def verified_load(df: DataFrame, table: str, path: str, force: bool = False) -> LoadStatus:
-    """Copy a table to ``path`` unless it is there already, and verify it.
+    """Publish a table at ``path`` unless it is there already, and verify it.
 
     Equal row counts mean there is nothing to do; another non-zero count is
-    replaced only with ``force``.  Counting Parquet reads footers only.
+    replaced only with ``force``.  A load that fails leaves the stored table as
+    it was (see :mod:`snapshots`).  Counting Parquet reads footers only.
     """
     spark = df.sparkSession
-    expected, stored = df.count(), _stored_rows(spark, path)
+    expected, stored = df.count(), snapshots.current_rows(spark, path)
     if stored == expected:
         return LoadStatus(table, expected, stored, SKIPPED)
     if stored and not force:
         return LoadStatus(table, expected, stored, NEEDS_FORCE)
-    df.write.mode("overwrite").parquet(path)
-    actual = _stored_rows(spark, path)
-    if actual != expected:
-        raise LoadMismatch(f"{table}: {actual} rows stored, {expected} expected")
+    try:
+        actual = snapshots.publish(df, path, expected)
+    except snapshots.RowsMismatch as error:
+        raise LoadMismatch(f"{table}: {error}") from error
     return LoadStatus(table, expected, actual, LOADED)
 
 
+def loaded_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a loaded table."""
+    table = snapshots.current(spark, path)
+    if table is None:
+        raise MissingArtifact(f"nothing is loaded at {path}")
+    return table
+
+
 def load_all(tables: Mapping[str, DataFrame], folder: str, force: bool = False) -> list[LoadStatus]:
     """Load every table in order; one status per table."""
     return [verified_load(df, name, f"{folder}/{name}", force) for name, df in tables.items()]

@@ -8,7 +8,7 @@ from larder.operators import boosting, features, trees
 from larder.plans import batch
 from larder.plans.warehouse import open_warehouse
 from larder.session import settle, shared_folder
-from larder.sources import artifacts, load, scan
+from larder.sources import artifacts, load, scan, snapshots
 from larder.sources.scan import MissingSource, scan_csv, scan_parquet
 from larder.sources.tables import TABLES
 
@@ -94,6 +94,50 @@ def test_curated_table_has_no_unknown_gaps(spark, frame, tmp_path):
     assert spark.table("curated_gap_test").count() == 1
 
 
+def test_a_failed_load_leaves_the_table_as_it_was(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    load.verified_load(frame([(1,), (2,)], "a int"), "t", path)
+    counted = snapshots._count
+    monkeypatch.setattr(snapshots, "_count", lambda *a: counted(*a) - 1)
+    with pytest.raises(load.LoadMismatch, match="stays current"):
+        load.verified_load(frame([(7,), (8,), (9,)], "a int"), "t", path, force=True)
+    assert sorted(r.a for r in load.loaded_table(spark, path).collect()) == [1, 2]
+    unreadable = frame([(7,), (8,), (9,)], "a int").withColumn("a", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        load.verified_load(unreadable, "t", path, force=True)
+    assert sorted(r.a for r in load.loaded_table(spark, path).collect()) == [1, 2]
+
+
+def test_readers_keep_their_version_and_old_ones_expire(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    assert snapshots.current(spark, path) is None
+    with pytest.raises(artifacts.MissingArtifact):
+        load.loaded_table(spark, path)
+    seen = []
+    for n in (1, 2, 3, 4):
+        snapshots.publish(spark.range(n), path, n)
+        seen.append(snapshots.current(spark, path))
+        assert snapshots.current_rows(spark, path) == n
+        if n > 1:
+            assert seen[-2].count() == n - 1  # a reader that began before the change
+    versions = snapshots._listed(spark, path)
+    assert [spark.read.schema("id long").parquet(f"{path}/{v.version}").count() for v in versions] == [4, 3, 0, 0]
+
+
+def test_a_hanging_question_is_cancelled_and_the_others_pass(spark, frame, tmp_path):
+    def hang():
+        return spark.range(0, 1 << 44, 1, 4).agg(F.sum(F.hash("id")).alias("s"))
+
+    questions = {"hangs": hang, **{f"q{i}": (lambda i=i: frame([(i,)], "a int")) for i in range(5)}}
+    result = {r.question: r for r in batch.run_questions(spark, questions, str(tmp_path), concurrent=3, time_limit=8).collect()}
+    assert list(result) == sorted(questions)
+    assert result["hangs"].status == "FAIL" and "TimeLimitExceeded" in result["hangs"].error
+    assert all(result[f"q{i}"].status == "PASS" and result[f"q{i}"].n_rows == 1 for i in range(5))
+    times = {r.question: r.seconds for r in spark.read.parquet(str(tmp_path / "_times")).collect()}
+    assert times.keys() == questions.keys() and 8 <= times["hangs"] < 60
+    assert batch.run_questions(spark, {}, str(tmp_path / "none")).count() == 0
+
+
 def test_batch_survives_a_failing_question(spark, frame, tmp_path):
     questions = {
         "good": lambda: frame([(1,)], "a int"),
