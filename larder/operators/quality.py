@@ -227,39 +227,62 @@ def duplicate_check(df: DataFrame, spec: TableSpec) -> DataFrame:
 # --- dates -------------------------------------------------------------------
 
 
-def date_continuity_evidence(df: DataFrame, group: str | None = None) -> DataFrame:
-    """Days missing between each group's first and last date; no date is built."""
+#: Days in one bitmap; a group has one for each such stretch of days that it touches.
+BITMAP_DAYS = 32_768
+
+
+def day_bitmaps(df: DataFrame, group: str | None = None) -> DataFrame:
+    """group_value, stretch, first and last date and one bit a day: a state of fixed size that merges by OR.
+
+    Rows without a date or a group have no state.
+    """
     label = F.col(group) if group else F.lit("all")
     days = df.filter(F.col("date").isNotNull())
     days = days.filter(F.col(group).isNotNull()) if group else days
-    return (
-        days.groupBy(label.alias("group_value"))
-        .agg(
-            F.min("date").alias("min_date"),
-            F.max("date").alias("max_date"),
-            F.count_distinct("date").alias("n_days"),
-        )
-        .select(
-            F.col("group_value").cast("string").alias("group_value"),
-            "min_date",
-            "max_date",
-            "n_days",
-            (F.datediff("max_date", "min_date") + 1 - F.col("n_days")).cast("long").alias("missing_days"),
-        )
+    number = F.unix_date("date")
+    return days.groupBy(label.alias("group_value"), F.floor(number / BITMAP_DAYS).alias("stretch")).agg(
+        F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+        F.bitmap_construct_agg(F.pmod(number, F.lit(BITMAP_DAYS)).cast("bigint")).alias("days"),
     )
 
 
-def missing_dates(df: DataFrame, group: str) -> DataFrame:
-    """The missing days themselves, per group.
+def merged_bitmaps(*states: DataFrame) -> DataFrame:
+    """The state of several tables' rows together, from the states of each."""
+    union = states[0]
+    for state in states[1:]:
+        union = union.unionByName(state)
+    return union.groupBy("group_value", "stretch").agg(
+        F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"), F.bitmap_or_agg("days").alias("days"))
+
+
+def date_continuity_of(state: DataFrame) -> DataFrame:
+    """Days missing between each group's first and last date: days of the range less bits set."""
+    return state.groupBy("group_value").agg(
+        F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"), F.sum(F.bitmap_count("days")).alias("n_days"),
+    ).select(
+        F.col("group_value").cast("string").alias("group_value"),
+        "min_date",
+        "max_date",
+        "n_days",
+        (F.datediff("max_date", "min_date") + 1 - F.col("n_days")).cast("long").alias("missing_days"),
+    )
 
-    Each present day looks at the next one and lists what lies between; a
-    group has at most one row per calendar day once duplicates are gone.
-    """
-    present = df.select(group, "date").filter(F.col(group).isNotNull() & F.col("date").isNotNull()).distinct()
-    following = F.lead("date").over(Window.partitionBy(group).orderBy("date"))
-    gaps = present.withColumn("following", following).filter(F.datediff("following", "date") > 1)
-    between = F.sequence(F.date_add("date", 1), F.date_sub("following", 1))
-    return gaps.select(group, F.explode(between).alias("date"))
+
+def date_continuity_evidence(df: DataFrame, group: str | None = None) -> DataFrame:
+    """Days missing between each group's first and last date; no date is built."""
+    return date_continuity_of(day_bitmaps(df, group))
+
+
+def missing_dates(df: DataFrame, group: str) -> DataFrame:
+    """The missing days themselves, per group: the zero bits between its first and last date."""
+    stretches = day_bitmaps(df, group).groupBy("group_value").agg(
+        F.min("min_date").alias("low"), F.max("max_date").alias("high"),
+        F.map_from_entries(F.collect_list(F.struct("stretch", "days"))).alias("days"),  # one entry for each 89 years
+    )
+    octet = f"ascii(decode(substring(days[floor(unix_date(day) / {BITMAP_DAYS})], cast(pmod(unix_date(day), {BITMAP_DAYS}) div 8 as int) + 1, 1), 'ISO-8859-1'))"
+    absent = f"coalesce({octet}, 0) & shiftleft(1, cast(pmod(unix_date(day), 8) as int)) = 0"
+    between = F.expr(f"filter(sequence(low, high, interval 1 day), day -> {absent})")
+    return stretches.select(F.col("group_value").alias(group), F.explode(between).alias("date"))
 
 
 def date_continuity_check(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -148,3 +148,30 @@ def test_overall_takes_the_worst_and_the_gate_raises(frame):
     assert quality.exceptions(failing).count() == 2
     with pytest.raises(quality.ValidationFailed, match="t:c"):
         quality.require_valid(failing)
+
+
+def test_day_bitmaps_merge_and_give_the_missing_days(frame):
+    """Days of any century, groups that lie in several stretches of bits, and states of parts that add up to that of the whole."""
+    import random
+
+    rng = random.Random(2)
+    ordinals = {"A": [1, 700, 719_163, 719_163 + 32_767, 719_163 + 32_768], "B": [rng.randrange(738_000, 738_400) for _ in range(200)], "C": [738_000], None: [738_000]}
+    rows = [(g, date.fromordinal(o)) for g, found in ordinals.items() for o in found for _ in range(2)] + [("B", None)]
+    rng.shuffle(rows)
+    table = frame(rows, "warehouse string, date date")
+    got = {r.group_value: r for r in quality.date_continuity_evidence(table, "warehouse").collect()}
+    for g in "ABC":
+        distinct = sorted(set(ordinals[g]))
+        assert (got[g].n_days, got[g].missing_days) == (len(distinct), distinct[-1] - distinct[0] + 1 - len(distinct))
+    assert set(got) == {"A", "B", "C"}
+    parts = [quality.day_bitmaps(frame(rows[i::3], "warehouse string, date date"), "warehouse") for i in range(3)]
+    merged = quality.date_continuity_of(quality.merged_bitmaps(*parts))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, got.values()))
+    missing = quality.missing_dates(table.filter("warehouse IN ('B', 'C')"), "warehouse").collect()
+    distinct = set(ordinals["B"])
+    assert sorted(r.date.toordinal() for r in missing) == [o for o in range(min(distinct), max(distinct)) if o not in distinct]
+    across = frame([("D", date.fromordinal(719_163 + 32_760)), ("D", date.fromordinal(719_163 + 32_775))], "warehouse string, date date")
+    assert quality.missing_dates(across, "warehouse").count() == 14
+    for plan in (quality.date_continuity_evidence(table, "warehouse"), quality.missing_dates(table, "warehouse")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in text and "distinct" not in text.lower().replace("isdistinct", "")
