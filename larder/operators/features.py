@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import sum_skipping_nulls
 from ..sources.tables import DISCOUNTS
-from .timeline import LAG_SHIFT, LAGS, ROLLING_WINDOWS, with_history
+from .timeline import LAG_SHIFT, LAGS, ROLLING_WINDOWS, history_names, with_history
 
 HORIZON_DAYS = 28
 CALENDAR_FLAGS = ["holiday", "shops_closed", "winter_school_holidays", "school_holidays"]
 CATEGORY = "l1_category_name_en"
 
-HISTORY_FEATURES = [f"lag_{k}" for k in LAGS] + [f"rmean_{w}_lag{LAG_SHIFT}" for w in ROLLING_WINDOWS]
+HISTORY_FEATURES = history_names(LAGS, ROLLING_WINDOWS, LAG_SHIFT)
 KNOWN_AHEAD = ["sell_price_main", "discount_total", "dow", "day_of_month", "month", *CALENDAR_FLAGS]
 
 
@@ -130,11 +130,32 @@ def history_and_holdout(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def leak_audit(
+    panel: DataFrame, values: dict[str, Sequence[str]],
+    lags: Sequence[int] = LAGS, windows: Sequence[int] = ROLLING_WINDOWS, shift: int = LAG_SHIFT,
+) -> DataFrame:
+    """Count the holdout rows whose features read sales of the holdout; one row per feature.
+
+    History features are built together with the latest day that each of them
+    reads, through the same windows; all others read no sales.  One pass over
+    the panel's keys and sales.
+    """
+    cutoff = F.date_sub(last_day(panel), HORIZON_DAYS - 1)
+    history = history_names(lags, windows, shift)
+    read = with_history(panel.select("unique_id", "date", "sales"), lags, windows, shift, read_days=True).filter(F.col("date") >= cutoff)
+    names = [*history, *(n for n in feature_columns(values) if n not in HISTORY_FEATURES)]
+    leaks = {n: F.count_if(F.col(f"{n}_read") >= F.unix_date(cutoff)) for n in history}
+    audited = [
+        F.struct(F.lit(n).alias("feature"), leaks.get(n, F.lit(0).cast("bigint")).alias("n_changed"), F.count(F.lit(1)).alias("n_rows")) for n in names
+    ]
+    return read.agg(F.array(*audited).alias("audit")).select(F.inline("audit"))
+
+
+def leak_trial(
     panel: DataFrame, calendar: DataFrame, inventory: DataFrame, values: dict[str, Sequence[str]], spike: float = 1e6
 ) -> DataFrame:
-    """Spike the holdout's sales and count the holdout features that change.
+    """The audit by experiment: spike the holdout's sales and count the holdout features that change.
 
-    One row per feature; any non-zero ``n_changed`` is a leak.
+    It builds the feature frame twice and joins the two; for checking :func:`leak_audit`.
     """
     cutoff = F.date_sub(last_day(panel), HORIZON_DAYS - 1)
     spiked = panel.withColumn("sales", F.when(F.col("date") >= cutoff, F.lit(spike)).otherwise(F.col("sales")))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 LAGS = (28, 35, 42, 56)
@@ -62,16 +62,29 @@ def regularize(history: DataFrame) -> DataFrame:
     )
 
 
+def _upto(days_back: int) -> WindowSpec:
+    """All rows of the series that are ``days_back`` or more calendar days old."""
+    return _by_day().rangeBetween(Window.unboundedPreceding, -days_back)
+
+
 def _as_of(value: Column, days_back: int) -> Column:
     """The last non-null value at least ``days_back`` calendar days ago."""
-    frame = _by_day().rangeBetween(Window.unboundedPreceding, -days_back)
-    return F.last(value, ignorenulls=True).over(frame)
+    return F.last(value, ignorenulls=True).over(_upto(days_back))
+
+
+def _read_of(days_back: int) -> Column:
+    """The latest day that :func:`_as_of` reads."""
+    return F.max("day_no").over(_upto(days_back))
 
 
 def _lag_columns(lags: Sequence[int]) -> dict[str, Column]:
     return {f"lag_{k}": _as_of(F.col("sales"), k) for k in lags}
 
 
+def history_names(lags: Sequence[int], windows: Sequence[int], shift: int) -> list[str]:
+    return [f"lag_{k}" for k in lags] + [f"rmean_{w}_lag{shift}" for w in windows]
+
+
 def with_lags(panel: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
     """Add ``lag_k``: the last known sales k or more days before the row."""
     return _dated(panel).withColumns(_lag_columns(lags)).drop("day_no")
@@ -83,12 +96,15 @@ def with_history(
     windows: Sequence[int] = ROLLING_WINDOWS,
     shift: int = LAG_SHIFT,
     min_days: int = MIN_ROLLING_DAYS,
+    read_days: bool = False,
 ) -> DataFrame:
     """Add lags and ``rmean_w_lag{shift}``: mean of w days ending ``shift`` days ago.
 
     A mean is the difference of running totals at two earlier days.  Each total
     is looked up as of its day: the total before the run that covers the day,
-    plus that run's value for the days it has lasted.
+    plus that run's value for the days it has lasted.  With ``read_days``, each
+    feature's ``<name>_read`` is the number of the latest day among the rows in
+    its windows.
     """
     earlier = _by_day().rowsBetween(Window.unboundedPreceding, -1)
     known = F.col("held").isNotNull()
@@ -107,6 +123,12 @@ def with_history(
     looked_up = totals.withColumns(
         {**_lag_columns(lags), **{f"run_{k}": _as_of(run, k) for k in offsets}}
     )
+    read = []
+    if read_days:
+        reaches = {f"lag_{k}": [k] for k in lags} | {f"rmean_{w}_lag{shift}": [shift, shift + w] for w in windows}
+        for name, reach in reaches.items():
+            days_read = [_read_of(k) for k in reach]
+            read.append((days_read[0] if len(reach) == 1 else F.greatest(*days_read)).alias(f"{name}_read"))
 
     def upto(k: int) -> tuple[Column, Column]:
         at = F.col(f"run_{k}")
@@ -121,7 +143,7 @@ def with_history(
         n = days_end - days_start
         mean = F.when(n >= min_days, (units_end - units_start) / n)
         means.append(mean.alias(f"rmean_{w}_lag{shift}"))
-    return looked_up.select(*panel.columns, *[f"lag_{k}" for k in lags], *means)
+    return looked_up.select(*panel.columns, *[f"lag_{k}" for k in lags], *means, *read)
 
 
 def with_rolling_means(panel: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS, shift: int = LAG_SHIFT) -> DataFrame:

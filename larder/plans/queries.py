@@ -415,7 +415,7 @@ def _(w):
 
 @_register("f10_leak_audit")
 def _(w):
-    return features.leak_audit(w.panel, w.calendar, w.inventory, w.one_hot_values)
+    return features.leak_audit(w.panel, w.one_hot_values)
 
 
 @_register("f11_seasonal_naive", "sparse")

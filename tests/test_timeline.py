@@ -182,7 +182,8 @@ def test_feature_values(frame):
 
 
 def test_holdout_features_do_not_see_the_holdout(frame):
-    audit = features.leak_audit(*feature_inputs(frame), VALUES).collect()
+    audit = features.leak_audit(feature_inputs(frame)[0], VALUES).collect()
+    assert sorted(map(tuple, audit)) == sorted(map(tuple, features.leak_trial(*feature_inputs(frame), VALUES).collect()))
     assert {r.n_changed for r in audit} == {0}
     assert {r.n_rows for r in audit} == {28}
     spiked = features.feature_frame(*feature_inputs(frame, spike=1000.0), VALUES)
@@ -190,6 +191,17 @@ def test_holdout_features_do_not_see_the_holdout(frame):
     assert max(r[name] for r in top for name in features.HISTORY_FEATURES) == 10.0
 
 
+def test_planted_leaks_are_found(frame):
+    panel, _, _ = feature_inputs(frame)
+    audit = {r.feature: r.n_changed for r in features.leak_audit(panel, VALUES, lags=(27, 28, 1), windows=(7,), shift=27).collect()}
+    assert (audit["lag_27"], audit["lag_28"], audit["lag_1"], audit["rmean_7_lag27"], audit["dow"]) == (1, 0, 27, 1, 0)
+
+
+def test_the_audit_is_one_pass_without_a_join(frame):
+    plan = features.leak_audit(feature_inputs(frame)[0], VALUES)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_temporal_split_has_28_day_parts(frame):
     panel, _, _ = feature_inputs(frame)
     counts = {r.split: r["count"] for r in features.temporal_split(panel).groupBy("split").count().collect()}
