@@ -67,10 +67,6 @@ def horizon_dates(holdout: DataFrame) -> Column:
     return holdout.agg(F.sort_array(F.collect_set("date"))).scalar()
 
 
-def horizon_after(last_day: Column, days: int = HORIZON_DAYS) -> Column:
-    return F.sequence(F.date_add(last_day, 1), F.date_add(last_day, days))
-
-
 def forecast_grid(known: DataFrame, dates: Column, declared: DataFrame | None = None) -> DataFrame:
     """Every known or declared series on every horizon date, with the weekday."""
     ids = known.select("unique_id")

@@ -8,8 +8,8 @@ smaller is a plain Parquet copy.
 
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +63,7 @@ class Warehouse:
     @cached_property
     def panel(self) -> DataFrame:
         # One name for each data folder and grain: a later application replaces the table, none pile up.
-        name = f"larder_panel_{self.grain}_{zlib.crc32(self.sf_dir.encode()):08x}"
+        name = f"larder_panel_{self.grain}_{hashlib.sha256(self.sf_dir.encode()).hexdigest()[:32]}"
         derived = settle(derive.panel_of(*self._lines, self.grain), "derived-panel")
         size = derived.groupBy("unique_id").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.count("*").alias("series")).first()
         buckets = self._buckets(size.rows, size.series)
