@@ -11,7 +11,8 @@ Viterbi.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
 
@@ -47,40 +48,80 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 _WORD = re.compile(r"[a-z]+")
 
 
-def leaf_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool]]:
-    """Text, chain of (tag and name) features and "all of it is link text" of each leaf block with text."""
-    blocks: list[tuple[str, tuple[str, ...], bool]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+@dataclass(frozen=True, slots=True)
+class Element:
+    """An open element: the places of its own and all ancestors' features as bits of a number, and the last two block tags."""
+
+    tag: str
+    bits: int
+    last: tuple[str, ...]
+
+    def within(self, tag: str, names: tuple[str, ...]) -> Element:
+        if tag in INLINE:
+            return Element(tag, self.bits, self.last)
+        bits = self.bits
+        for feature in (tag, *names):
+            bits |= 1 << _place("in " + feature)
+        return Element(tag, bits, (*self.last, tag)[-2:])
+
+
+class _Open:
+    """The open elements, and where those of a tag, and those that are no inline elements, stand among them."""
+
+    def __init__(self):
+        self.stack = [Element("", 0, ())]
+        self.at: dict[str, list[int]] = {}
+        self.block_at: list[int] = []
+        self.hidden = 0
+
+    def last(self, tag: str) -> int | None:
+        places = self.at.get(tag)
+        return places[-1] if places else None
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.block_at.append(len(self.stack))
+        self.hidden += tag in UNSEEN
+        self.stack.append(self.stack[-1].within(tag, names))
+
+    def close(self, index: int) -> None:
+        """Close the element at ``index`` and all within it."""
+        while len(self.stack) > index:
+            tag = self.stack.pop().tag
+            self.at[tag].pop()
+            if tag not in INLINE:
+                self.block_at.pop()
+            self.hidden -= tag in UNSEEN
+
+
+def leaf_blocks(html: str) -> list[tuple[str, Element, bool]]:
+    """Text, innermost open element and "all of it is link text" of each leaf block with text; in time linear in the page."""
+    blocks: list[tuple[str, Element, bool]] = []
+    opened = _Open()
     pieces: list[str] = []
     linked = [0, 0]
-    hidden = 0
 
     def end_block() -> None:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                features = tuple(f for tag, names in stack if tag not in INLINE for f in (tag, *names))
-                blocks.append((text, features, linked[1] == 0 and linked[0] > 0))
+                blocks.append((text, opened.stack[-1], linked[1] == 0 and linked[0] > 0))
             pieces.clear()
             linked[0] = linked[1] = 0
 
     def leave_head() -> None:
         """A page may leave out </head>: what cannot stand in a head ends it."""
-        if stack and stack[-1][0] == "head":
-            close(len(stack) - 1)
+        if opened.stack[-1].tag == "head":
+            opened.close(len(opened.stack) - 1)
 
     def add(raw: str) -> None:
         if raw.strip():
             leave_head()
-        if raw and not hidden:
+        if raw and not opened.hidden:
             pieces.append(unescape(raw))
             if raw.strip():
-                linked[0 if any(tag == "a" for tag, _ in stack) else 1] += 1
-
-    def close(index: int) -> None:
-        nonlocal hidden
-        hidden -= sum(tag in UNSEEN for tag, _ in stack[index:])
-        del stack[index:]
+                linked[0 if opened.at.get("a") else 1] += 1
 
     at, end = 0, len(html)
     while at < end:
@@ -99,13 +140,13 @@ def leaf_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool]]:
         if not match[4] and not match[0].endswith(">"):
             break  # a tag that the page's end cuts off
         if match[1]:
-            index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            index = opened.last(tag)
             if tag not in INLINE:
                 end_block()
                 if index is not None:
-                    close(index)
-            elif index is not None and all(t in INLINE for t, _ in stack[index:]):
-                close(index)
+                    opened.close(index)
+            elif index is not None and not (opened.block_at and opened.block_at[-1] > index):
+                opened.close(index)
             continue
         if tag not in IN_HEAD:
             leave_head()
@@ -118,16 +159,15 @@ def leaf_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool]]:
             continue
         if tag not in INLINE:
             end_block()
-            if tag in CLOSES_PARAGRAPH:
-                index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
-                if index is not None and (stack[index][0] == "p" or tag == "li" and stack[index][0] == "li"):
-                    close(index)
+            if tag in CLOSES_PARAGRAPH and opened.block_at:
+                index = opened.block_at[-1]
+                if opened.stack[index].tag == "p" or tag == "li" and opened.stack[index].tag == "li":
+                    opened.close(index)
         names = tuple(
             "." + word for found in _NAMES.findall(match[3]) for word in _WORD.findall("".join(found).lower())) if match[3] else ()
         if match[3].endswith("/"):
             continue
-        stack.append((tag, names))
-        hidden += tag in UNSEEN
+        opened.push(tag, names)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b", re.I).search(html, at)
             if tag not in UNSEEN:
@@ -147,12 +187,12 @@ def _place(feature: str) -> int:
 _place = lru_cache(maxsize=1 << 16)(_place)
 
 
-@lru_cache(maxsize=1 << 12)
-def _chain_places(chain: tuple[str, ...]) -> tuple[int, ...]:
-    places = {_place("in " + f) for f in chain}
-    tags = [f for f in chain if f[0] != "."]
-    places.update(_place(f"last{i} {tag}") for i, tag in enumerate(reversed(tags[-2:])))
-    return tuple(sorted(places))
+@lru_cache(maxsize=1 << 10)
+def _element_places(bits: int, last: tuple[str, ...]) -> tuple[int, ...]:
+    for i, tag in enumerate(reversed(last)):
+        bits |= 1 << _place(f"last{i} {tag}")
+    octets = np.frombuffer(bits.to_bytes(PLACES // 8, "little"), np.uint8)
+    return tuple(np.flatnonzero(np.unpackbits(octets, bitorder="little")).tolist())
 
 
 def _shape_places(text: str, linked: bool) -> tuple[int, ...]:
@@ -163,8 +203,9 @@ def _shape_places(text: str, linked: bool) -> tuple[int, ...]:
     )
 
 
-def block_places(blocks: list[tuple[str, tuple[str, ...], bool]]) -> list[tuple[int, ...]]:
-    return [_chain_places(chain) + _shape_places(text, linked) for text, chain, linked in blocks]
+def block_places(blocks: list[tuple[str, Element, bool]]) -> Iterator[tuple[int, ...]]:
+    for text, element, linked in blocks:
+        yield _element_places(element.bits, element.last) + _shape_places(text, linked)
 
 
 class Field:
@@ -174,15 +215,15 @@ class Field:
         self.state, self.move = state, move
         self.margin = (state[:, 1] - state[:, 0]).tolist()
 
-    def decode(self, places: list[tuple[int, ...]]) -> list[int]:
+    def decode(self, places: Iterable[tuple[int, ...]]) -> list[int]:
         """The best labels by Viterbi; label 0 scores zero on its own, label 1 the margin."""
         margin, (m00, m01), (m10, m11) = self.margin, *self.move.tolist()
         zero = one = 0.0
-        back = []
+        back, some = [], False
         for i, chosen in enumerate(places):
             gain = sum(margin[p] for p in chosen)
             if i == 0:
-                zero, one = 0.0, gain
+                zero, one, some = 0.0, gain, True
                 continue
             from_zero, from_one = one + m10 <= zero + m00, one + m11 > zero + m01
             back.append((0 if from_zero else 1, 1 if from_one else 0))
@@ -192,7 +233,7 @@ class Field:
         for before in reversed(back):
             label = before[label]
             labels.append(label)
-        return labels[::-1] if places else []
+        return labels[::-1] if some else []
 
 
 def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
@@ -202,7 +243,7 @@ def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
 
 def fit(pages: list[tuple[str, list[int]]], steps: int = STEPS, rate: float = 0.3, penalty: float = 1e-3) -> Field:
     """Maximum likelihood by gradient steps with per-weight rates; forward-backward over all pages at once."""
-    sequences = [(block_places(leaf_blocks(html)), labels) for html, labels in pages]
+    sequences = [(list(block_places(leaf_blocks(html))), labels) for html, labels in pages]
     sequences = [(places, labels) for places, labels in sequences if places and len(places) == len(labels)]
     n, longest = len(sequences), max(len(labels) for _, labels in sequences)
     length = np.array([len(labels) for _, labels in sequences])
@@ -263,7 +304,8 @@ def extract(pages: DataFrame, key: str = "page_id", html: str = "html", url: str
     The field is fitted once, on the driver, to a fixed number of labelled
     pages; its weights, of fixed size, go to the tasks.  Null or empty html, or
     a page without main text, gives the empty text.  Rows are independent:
-    repeated rows, null keys and null urls come back as they are.  Other
+    repeated rows, null keys and null urls come back as they are.  Pages of any
+    size and depth are taken whole, in time about linear in their length.  Other
     columns are not read; an empty table gives an empty one.
     """
     kind = pages.schema[key].dataType.simpleString()
