@@ -23,9 +23,10 @@ RANGE_ROWS = 100_000
 RANGES = (240, 1 << 16)
 #: Keys drawn for each range.
 DRAWN = 32
-#: A group of copies is subdivided beyond this part of a shard, or this many bytes.
+#: A group of copies is subdivided beyond this part of a shard, but not below so many bytes (or a quarter of a shard,
+#: where shards are as small as that), and in any case beyond so many bytes.
 PART_OF_SHARD = 1 / 50
-PART_BYTES = 64 << 20
+LEAST_PART_BYTES, PART_BYTES = 64 << 10, 64 << 20
 
 
 def _range_of(key: str, splitters: list[int]) -> Column:
@@ -47,11 +48,18 @@ def splitters(rows: DataFrame, ranges: int, total: int) -> list[int]:
     return sorted(set(drawn.q or []))
 
 
+def group_bound(total: int, shards: int) -> int:
+    """Bytes up to which all copies of a text share a shard."""
+    shard = total / shards
+    return max(1, int(min(max(shard * PART_OF_SHARD, min(LEAST_PART_BYTES, shard / 4)), PART_BYTES)))
+
+
 def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot.
 
     Shards hold nearly equal bytes; ``slot`` numbers the rows of a shard
-    without gaps from 0.  Null text has no bytes and is the same key as the
+    without gaps from 0.  Rows of one text share a shard unless they hold more
+    than :func:`group_bound` together; a single text is never cut, however long.  Null text has no bytes and is the same key as the
     empty text.  Null ids are rows like others, repeated rows get a slot each.
     Other columns of ``docs`` are not read; an empty table gives an empty one.
     """
@@ -65,7 +73,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     )
     whole_table = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     ranges = min(max(RANGES[0], -(-whole_table.n // RANGE_ROWS)), RANGES[1])
-    most = max(1, min(int(whole_table.bytes / shards * PART_OF_SHARD), PART_BYTES))
+    most = group_bound(whole_table.bytes, shards)
     cut = splitters(rows, ranges, whole_table.bytes)
 
     # Groups of copies, the large ones in parts; a row's part follows from its id.
