@@ -59,7 +59,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archive(table(spark, sf_dir, "pages"), folder)
-    return warc.parsed(warc.read_archive(spark, folder))
+    return warc.parsed(warc.records(spark, folder))
 
 
 ORACLES["op9_warc"] = """

@@ -65,7 +65,7 @@ def describe(pages: DataFrame, smallest: int = 0) -> DataFrame:
     )
 
 
-def header(rows: DataFrame) -> Column:
+def header() -> Column:
     """Exact header bytes of the record, blank line included."""
     revisit = F.col("record_type") == "revisit"
     name = lambda c: F.concat(F.lit(f"<{ID_PREFIX}"), F.coalesce(c.cast("string"), F.lit("unknown")), F.lit(">"))
@@ -86,64 +86,57 @@ def write_archive(pages: DataFrame, folder: str, smallest: int = 0) -> None:
     """Write the archive of ``pages`` (page_id, url, html) into a new folder.
 
     Null html is an empty payload, a null url leaves its header line out, a
-    null page_id is named "unknown".  Other columns of ``pages`` are not read;
-    an empty table writes an empty archive.
+    null page_id is named "unknown"; repeated rows are records of their own.
+    Payloads of any size are stored whole.  Other columns of ``pages`` are not
+    read; an empty table writes an empty archive.
     """
-    spark = pages.sparkSession
     described = describe(pages, smallest).withColumn("record_id", F.col("page_id"))
-    headers = described.select("record_id", "record_type", "refers_to", "address", header(described).alias("header"))
-    headers.write.parquet(f"{folder}/headers")
-    stored = spark.read.parquet(f"{folder}/headers")
-    # Only the rows that stand for their payload carry bytes to the store; a row's key is its id and its payload's address.
-    row_key = lambda page_id, at: F.concat_ws("/", F.coalesce(page_id.cast("string"), F.lit("null")), at)
-    standing = stored.where("record_type = 'response'").groupBy("address").agg(F.max("record_id").alias("record_id"))
+    described.select("record_id", "record_type", "refers_to", "address", header().alias("header")).write.parquet(f"{folder}/headers")
+    # Every payload has a response; tasks send each payload they read once, whatever its number of records.
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    source = pages.select("page_id", payload.alias("payload")).withColumn("address", F.sha2("payload", 256))
-    keyed = source.select(row_key(F.col("page_id"), F.col("address")).alias("row_key"), "address", "payload")
-    wanted = standing.select(row_key(F.col("record_id"), F.col("address")).alias("row_key"))
-    kept = keyed.join(wanted, "row_key", "left_semi").dropDuplicates(["row_key"])
-    kept.select("address", "payload").write.parquet(f"{folder}/payloads")
+    source = pages.select(F.sha2(payload, 256).alias("address"), payload.alias("payload"))
+    source.groupBy("address").agg(F.first("payload").alias("payload")).write.parquet(f"{folder}/payloads")
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """record_id, header, payload_bytes, payload_digest: every record with the facts of its verified payload."""
+def records(spark: SparkSession, folder: str) -> DataFrame:
+    """record_id, ``record`` (its exact bytes; a revisit has no block) and ``payload``, a revisit's through its response.
+
+    Every record is rebuilt by the join of its header with its payload.  A
+    payload whose bytes do not give its own address fails the read, as does a
+    record whose payload is missing.
+    """
     payloads = spark.read.parquet(f"{folder}/payloads")
-    wrong = F.concat(F.lit("payload does not have the digest it is stored under: "), F.col("address"))
-    verified = payloads.select(
-        "address",
-        F.when(F.sha2("payload", 256) == F.col("address"), F.octet_length("payload").cast("bigint"))
-        .otherwise(F.raise_error(wrong).cast("bigint")).alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
-    )
     headers = spark.read.parquet(f"{folder}/headers")
+    wrong = F.raise_error(F.concat(F.lit("payload does not have the digest it is stored under: "), F.col("address")))
+    verified = payloads.select("address", F.when(F.sha2("payload", 256) == F.col("address"), F.col("payload")).otherwise(wrong.cast("binary")).alias("payload"))
     missing = F.raise_error(F.concat(F.lit("no payload is stored under "), F.col("address")))
-    return headers.join(verified, "address", "left").select(
-        "record_id", "address", "header", F.coalesce("payload_bytes", missing.cast("bigint")).alias("payload_bytes"), "payload_digest",
-    )
+    joined = headers.join(verified, "address", "left").withColumn("payload", F.coalesce("payload", missing.cast("binary")))
+    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit("").cast("binary"))
+    return joined.select("record_id", F.concat("header", block, F.lit(2 * LINE_END).cast("binary")).alias("record"), "payload")
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
-    """record_id and ``record``: the exact bytes of each WARC record (a revisit has no block)."""
-    payloads = spark.read.parquet(f"{folder}/payloads")
-    headers = spark.read.parquet(f"{folder}/headers")
-    end = F.lit(2 * LINE_END).cast("binary")
-    full = headers.where("record_type = 'response'").join(payloads, "address").select(
-        "record_id", F.concat("header", "payload", end).alias("record"))
-    return full.unionByName(headers.where("record_type = 'revisit'").select("record_id", F.concat("header", end).alias("record")))
-
-
-def parsed(read: DataFrame) -> DataFrame:
-    """One row per record, from its header bytes and its verified payload."""
-    text = F.col("header").cast("string")
-    value = lambda name: F.regexp_extract(text, rf"\n{name}: ([^\r]*)\r\n", 1)
-    digest = F.regexp_replace(value("WARC-Payload-Digest"), "^sha1:", "")
-    differs = F.raise_error(F.concat(F.lit("header and payload differ: "), value("WARC-Record-ID")))
-    number = lambda name: F.regexp_extract(value(name), rf"^<{ID_PREFIX}(-?\d+)>$", 1)
-    referred = number("WARC-Refers-To")
+def parsed(rebuilt: DataFrame) -> DataFrame:
+    """One row per record of :func:`records`, read from the record's bytes; a revisit's payload is the one it refers to.
+
+    A record whose block is not as long as its header says, or whose payload
+    has another digest, is an error.
+    """
+    head = F.substring_index(F.col("record").cast("string"), 2 * LINE_END, 1)
+    read = rebuilt.select("record_id", "record", "payload", F.concat(head, F.lit(LINE_END)).alias("head"))
+    value = lambda name: F.regexp_extract("head", rf"\n{name}: ([^\r]*)\r\n", 1)
+    starts = F.octet_length("head") + len(LINE_END)
+    read = read.select(
+        "record_id", value("WARC-Type").alias("record_type"), value("WARC-Refers-To").alias("refers_to"), value("WARC-Record-ID").alias("name"),
+        F.regexp_replace(value("WARC-Payload-Digest"), "^sha1:", "").alias("declared"), value("Content-Length").cast("bigint").alias("length"),
+        F.col("record").substr(starts + 1, F.octet_length("record") - starts - 2 * len(LINE_END)).alias("block"), "payload",
+    ).withColumn("payload", F.when(F.col("record_type") == "response", F.col("block")).otherwise(F.col("payload")))
+    differs = F.raise_error(F.concat(F.lit("header and payload differ: "), F.col("name")))
+    agrees = (F.octet_length("block") == F.col("length")) & (base32_sha1(F.col("payload")) == F.col("declared"))
+    number = F.regexp_extract("refers_to", rf"^<{ID_PREFIX}(-?\d+)>$", 1)
     return read.select(
         F.col("record_id").alias("page_id"),
-        "payload_bytes",
-        F.when(digest == F.col("payload_digest"), digest).otherwise(differs.cast("string")).alias("payload_digest"),
-        value("WARC-Type").alias("record_type"),
-        F.when(referred != "", referred.cast("bigint")).alias("refers_to"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.when(agrees, F.col("declared")).otherwise(differs.cast("string")).alias("payload_digest"),
+        "record_type",
+        F.when(number != "", number.cast("bigint")).alias("refers_to"),
     )

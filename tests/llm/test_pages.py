@@ -6,6 +6,7 @@ import uuid
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.llm import chat, extraction, warc
 from larder.llm.labelled_pages import labelled_pages
@@ -47,14 +48,16 @@ def test_archive_round_trip(spark, pages, page_rows, no_pages):
         digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
         own = p == first or first is None
         expected[p, len(data), digest, "response" if own else "revisit", None if own else first] += 1
-    assert Counter(map(tuple, warc.parsed(warc.read_archive(spark, folder)).collect())) == expected
+    assert Counter(map(tuple, warc.parsed(warc.records(spark, folder)).collect())) == expected
     stored = [bytes(r.payload) for r in spark.read.parquet(f"{folder}/payloads").collect()]
     assert sorted(stored) == sorted(h.encode() for h in groups)
     whole = {r.record_id: bytes(r.record) for r in warc.records(spark, folder).collect()}
     body = next(h for p, _, h in page_rows if p == 3)
     assert whole[3].startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and whole[3].endswith(b"\r\n\r\n" + body.encode() + b"\r\n\r\n")
+    payloads = {r.record_id: bytes(r.payload) for r in warc.records(spark, folder).collect()}
+    assert payloads[2] == payloads[3] == body.encode()  # the revisit's through its response
     assert whole[2].endswith(b"Content-Length: 0\r\n\r\n\r\n\r\n") and b"WARC-Refers-To: <urn:page:3>" in whole[2]
-    assert warc.read_archive(spark, _empty(warc, no_pages, spark)).count() == 0
+    assert warc.records(spark, _empty(warc, no_pages, spark)).count() == 0
 
 
 def _empty(module, frame, spark):
@@ -66,7 +69,7 @@ def _empty(module, frame, spark):
 def test_small_payloads_are_all_responses(spark, pages):
     folder = f"{shared_folder(spark)}/test-warc-{uuid.uuid4().hex}"
     warc.write_archive(pages, folder, smallest=1 << 20)
-    read = warc.parsed(warc.read_archive(spark, folder))
+    read = warc.parsed(warc.records(spark, folder))
     assert {r.record_type for r in read.collect()} == {"response"}
     payloads = spark.read.parquet(f"{folder}/payloads")
     assert payloads.count() == payloads.select("address").distinct().count()
@@ -79,7 +82,10 @@ def test_a_damaged_payload_is_noticed(spark, pages):
     spark.read.parquet(f"{folder}/headers").write.parquet(f"{bad}/headers")
     spark.read.parquet(f"{folder}/payloads").selectExpr("address", "cast(concat(cast(payload AS string), 'x') AS binary) AS payload").write.parquet(f"{bad}/payloads")
     with pytest.raises(Exception, match="does not have the digest"):
-        warc.read_archive(spark, bad).collect()
+        warc.records(spark, bad).collect()
+    cut = warc.records(spark, folder).withColumn("record", F.expr("substring(record, 1, octet_length(record) - 5)"))
+    with pytest.raises(Exception, match="header and payload differ"):
+        warc.parsed(cut).collect()
 
 
 def test_extraction(pages, page_rows, no_pages):
@@ -208,3 +214,30 @@ def test_article_of_a_page_without_head_end_is_kept():
     for html in pages:
         expected = extraction.main_text(html, field)
         assert expected and extraction.main_text(html.replace("</head>", ""), field) == expected
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    field = extraction.trained_field()
+    start = time.perf_counter()
+    deep = "<html><body><article>" + "".join(f"<div class='c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}'>a b" for i in range(100_000)) + "</article></body></html>"
+    assert len(extraction.leaf_blocks(deep)) == 100_000
+    assert len(extraction.leaf_blocks("<div>" * 50_000 + "x" + "</b></i></nav>" * 50_000)) == 1
+    extraction.main_text(deep, field)
+    assert time.perf_counter() - start < 30
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<body><nav><a href=/>Home</a></nav><main><article><h1>On tides</h1><p>The sea rises twice a day, and falls again.</p>"
+         "<p>Sailors have kept tables of it for centuries.</p></article></main><footer>Copyright us</footer>",
+         "On tides\nThe sea rises twice a day, and falls again.\nSailors have kept tables of it for centuries."),
+        ("<div class=header><a href=a>News</a><a href=b>Sport</a></div><div class='article content'><p>Rain is expected &amp; wind too.</p>"
+         "<p>It will clear up<br>later this week.</p></div><div class='sidebar'><h3>Related</h3><ul><li><a href=c>More</a></li></ul></div>",
+         "Rain is expected & wind too.\nIt will clear up later this week."),
+    ],
+)
+def test_hand_written_pages(html, text):
+    assert extraction.main_text(html, extraction.trained_field()) == text
