@@ -11,41 +11,63 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, mixing, simhash
-from larder.llm.quality import Rules
+from larder.llm import bpe, exact, mixing, quality, simhash
 from larder.llm.registry import table, tokenizer
 from larder.session import shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie within the perplexity bands of their language."""
-    return Rules(docs).keep(docs)
+    """Documents that pass the base rules and lie within the perplexity bands of their language.
+
+    A null text is empty and goes, a null language is the empty one; repeated
+    rows share their fate, texts of any length are judged whole, an empty table
+    stays empty.
+    """
+    return quality.keep(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of identical texts, the row with the largest id."""
-    kept = exact.classes(docs).where("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha256"))
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_sha256") == F.col("digest"))
-    staying = docs.withColumn("digest", digest).join(kept, same, "left_semi")
-    return staying.dropDuplicates(["doc_id", "digest"]).select(*docs.columns)
+    """Of identical texts, the row with the largest id.
+
+    Null texts equal the empty one, null ids are the smallest; of rows that are
+    repeated with id and text one stays.  Texts of any length are compared
+    whole, an empty table stays empty.
+    """
+    kept = exact.classes(docs).where("kept").select("doc_id", "text_sha256").alias("k")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.digest") == F.col("k.text_sha256"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "digest"]).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group, the row with the smallest id."""
-    groups = simhash.groups(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id"))
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    """Of each near-duplicate group, the row with the smallest id.
+
+    Texts without a word (null ones too) are one group; rows with the smallest
+    id of a group all stay if that id is repeated, null ids stay only in groups
+    that have no other.  Texts of any length count whole, an empty table stays
+    empty.
+    """
+    first = simhash.groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").alias("f")
+    return docs.alias("d").join(first, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_semi")
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says; the expected tokens of each domain meet the targets."""
+    """Each document as often as its rate says; the expected tokens of each domain meet the targets.
+
+    Rows of one id (null among them) are one document; null and empty texts have
+    no tokens and stay once.  Texts of any length are read whole, an empty table
+    stays empty.
+    """
     return mixing.apply(docs, mixing.mix(docs, table(spark, sf_dir, "labels")))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and digests of the ids and of the text they give back."""
+    """Token ids of each text, and digests of the ids and of the text they give back.
+
+    A null text is empty and has no ids; every row gives one, repeated rows and
+    null ids too.  Texts of any length are encoded whole, an empty table stays
+    empty.
+    """
     return bpe.encode(docs, tokenizer(), decoded=True).select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
