@@ -28,18 +28,50 @@ SMOOTHING = 1.0
 #: Weight of the mean log-likelihood of a word: a document counts as so many independent words.
 EVIDENCE_WORDS = 60.0
 
-STEPS = 48
+STEPS = 200
+#: Largest miss of a target, as a part of all targets' tokens, at which the rates are as wanted.
 TOLERANCE = 1e-4
+#: Where targets cannot be met, totals that move by less than this from step to step have come to rest.
+REST = 1e-6
 #: Steps after which the rates so far are written.
 STRIDE = 8
 
 
 @dataclass(frozen=True)
 class Domain:
+    """A combination of labels; its target is a fixed ``share`` of all tokens, or else its own tokens times ``weight``."""
+
     name: str
     quality: int
     toxic: int
-    weight: float
+    weight: float = 1.0
+    share: float | None = None
+
+
+@dataclass(frozen=True)
+class Solution:
+    """Rates of documents, and how near they come: tokens wanted and reached of each domain."""
+
+    rates: DataFrame
+    domains: tuple[Domain, ...]
+    targets: tuple[float, ...]
+    reached: tuple[float, ...]
+    steps: int
+    #: Targets are met, or the totals rest as near to them as they get.
+    converged: bool
+
+    @property
+    def met(self) -> bool:
+        return max(abs(r - t) for r, t in zip(self.reached, self.targets)) <= TOLERANCE * max(sum(self.targets), 1e-300)
+
+    def report(self) -> DataFrame:
+        """One row per domain: target and reached tokens, and whether the search came to rest."""
+        rows = [(d.name, t, r, self.converged) for d, t, r in zip(self.domains, self.targets, self.reached)]
+        return self.rates.sparkSession.createDataFrame(rows, "domain string, target_tokens double, reached_tokens double, converged boolean")
+
+
+class NotConverged(RuntimeError):
+    """The rates still moved after ``STEPS`` steps."""
 
 
 #: Domains by label, and how much each shall weigh for each token it has.  Weights are relative to
@@ -68,8 +100,9 @@ def classifier(docs: DataFrame, labels: DataFrame, domains: Sequence[Domain], ke
     known = labels.select(F.col("doc_id").alias("doc_id"), which.alias("domain")).where("domain IS NOT NULL AND doc_id IS NOT NULL")
     sample = settle(known.groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED), "labelled")
     # The sample has LABELLED rows of two numbers at most, so it can go to every task.
-    chosen = docs.join(F.broadcast(sample.withColumnRenamed("doc_id", key)), key)
-    counts = _words(chosen, key, text, "domain").groupBy("bucket").agg(
+    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    chosen = texts.join(F.broadcast(sample), "doc_id")
+    counts = _words(chosen, "doc_id", "text", "domain").groupBy("bucket").agg(
         *(F.sum((F.col("domain") == i).cast("double")).alias(f"n{i}") for i in range(len(domains))))
     places = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     filled = settle(places.join(counts, "bucket", "left").na.fill(0.0), "word-counts")
@@ -124,13 +157,25 @@ def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
     return [rows[i][n] / rows[i][i] for i in range(n)]
 
 
-def rates(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET) -> DataFrame:
-    """``members`` and the ``rate`` of each document.
+def _targets(domains: Sequence[Domain], held: Sequence[float], whole: float) -> list[float]:
+    """Tokens wanted of each domain, ``whole`` in all: fixed shares, and what they leave in proportion to weighed tokens."""
+    shares = [d.share for d in domains]
+    fixed = sum(s for s in shares if s is not None)
+    if fixed > 1 + 1e-9 or any(s is not None and s < 0 for s in shares):
+        raise ValueError("shares must be nonnegative and add up to one at most")
+    if all(s is not None for s in shares) and abs(fixed - 1) > 1e-9:
+        raise ValueError("shares of all domains must add up to one")
+    weighed = [d.weight * h if d.share is None else 0.0 for d, h in zip(domains, held)]
+    rest = max(0.0, 1 - fixed) * whole
+    return [whole * d.share if d.share is not None else rest * w / max(sum(weighed), 1e-300) for d, w in zip(domains, weighed)]
+
 
-    A domain's target is in proportion to its expected tokens times its weight;
-    all targets add up to ``budget`` times all tokens.  Rates are never
-    negative; targets that no rates can meet are met as nearly as the weighted
-    least squares allow.
+def solution(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET, most_copies: float | None = None) -> Solution:
+    """``members`` with the ``rate`` of each document, by targets that add up to ``budget`` times all tokens.
+
+    Rates lie between zero and ``most_copies`` (no bound if None); targets that
+    no such rates can meet are met as nearly as the weighted least squares
+    allow, and ``reached`` tells how nearly.
     """
     numbers = range(len(domains))
     held = [F.col("tokens") * F.col(f"p{i}") for i in numbers]
@@ -140,14 +185,17 @@ def rates(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float
         *(F.coalesce(F.sum(held[i] * held[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in numbers for j in numbers if j <= i),
     ).first()
     gram = [[sums[f"g{max(i, j)}_{min(i, j)}"] for j in numbers] for i in numbers]
-    weighed = [d.weight * sums[f"h{i}"] for i, d in enumerate(domains)]
-    targets = [budget * sums["all"] * w / max(sum(weighed), 1e-300) for w in weighed]
-    current, pending, before = members.withColumns({"rate": F.lit(1.0), "last_rate": F.lit(1.0)}), [], None
-    for step in range(STEPS):
-        moved = _after(current, pending, held)
+    targets = _targets(domains, [sums[f"h{i}"] for i in numbers], budget * sums["all"])
+    scale = max(sum(targets), 1e-300)
+    current, pending, before, converged = members.withColumns({"rate": F.lit(1.0), "last_rate": F.lit(1.0)}), [], None, False
+    for step in range(STEPS + 1):
+        moved = _after(current, pending, held, most_copies)
         sums = moved.agg(*(F.coalesce(F.sum(held[i] * F.col("rate")), F.lit(0.0)).alias(f"t{i}") for i in numbers)).first()
         reached = [sums[f"t{i}"] for i in numbers]
-        if max(abs(r - t) for r, t in zip(reached, targets)) <= TOLERANCE * max(sum(targets), 1e-300):
+        near = max(abs(r - t) for r, t in zip(reached, targets)) <= TOLERANCE * scale
+        rests = before is not None and max(abs(r - b) for r, b in zip(reached, before)) <= REST * scale
+        converged = near or rests
+        if converged or step == STEPS:
             break
         # The gradient is taken ahead of the rates, by the momentum; totals are linear in the rates.
         momentum = step / (step + 3)
@@ -155,12 +203,21 @@ def rates(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float
         pending.append([momentum, *solve(gram, [a - t for a, t in zip(ahead, targets)])])
         before = reached
         if len(pending) == STRIDE:
-            current, pending = settle(_after(current, pending, held), "rates"), []
-    return _after(current, pending, held).drop("last_rate")
+            current, pending = settle(_after(current, pending, held, most_copies), "rates"), []
+    final = _after(current, pending, held, most_copies).drop("last_rate")
+    return Solution(final, tuple(domains), tuple(targets), tuple(reached), step, converged)
+
+
+def rates(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET, most_copies: float | None = None) -> DataFrame:
+    """The rates of :func:`solution`; an error if they have not come to rest."""
+    found = solution(members, domains, budget, most_copies)
+    if not found.converged:
+        raise NotConverged(f"rates still move after {found.steps} steps: {found.reached} of {found.targets} tokens")
+    return found.rates
 
 
-def _after(current: DataFrame, steps: list[list[float]], held: list[Column]) -> DataFrame:
-    """Rates after more gradient steps with momentum, each projected onto the nonnegative numbers."""
+def _after(current: DataFrame, steps: list[list[float]], held: list[Column], most_copies: float | None = None) -> DataFrame:
+    """Rates after more gradient steps with momentum, each projected onto the allowed numbers."""
     if not steps:
         return current
     given = F.array(*(F.array(*map(F.lit, s)) for s in steps))
@@ -168,26 +225,31 @@ def _after(current: DataFrame, steps: list[list[float]], held: list[Column]) ->
     def move(state: Column, step: Column) -> Column:
         ahead = state.rate + step[0] * (state.rate - state.last_rate)
         moved = ahead - _total([h * step[i + 1] for i, h in enumerate(held)])
-        return F.struct(F.greatest(F.lit(0.0), moved).alias("rate"), state.rate.alias("last_rate"))
+        allowed = F.greatest(F.lit(0.0), moved if most_copies is None else F.least(F.lit(float(most_copies)), moved))
+        return F.struct(allowed.alias("rate"), state.rate.alias("last_rate"))
 
     final = F.aggregate(given, F.struct("rate", "last_rate"), move)
     return current.withColumn("moved", final).withColumns({"rate": F.col("moved.rate"), "last_rate": F.col("moved.last_rate")}).drop("moved")
 
 
-def mix(docs: DataFrame, labels: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mix(
+    docs: DataFrame, labels: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: float = BUDGET, key: str = "doc_id", text: str = "text",
+    most_copies: float | None = None,
+) -> DataFrame:
     """One row per document: doc_id, tokens, a membership per domain, rate, and copies.
 
     ``copies`` is the rate rounded up or down, by the hash of the id, so that
     its expectation is the rate.  Rows with the same id (null among them) are
     one document, whose tokens add up.  Null text counts as empty; documents
     without tokens keep the rate one.  Labels that are null or name no domain
-    are not used; without labels all memberships are equal.  Other columns are
-    not read; an empty table gives an empty one.
+    are not used; without labels all memberships are equal.  Texts of any
+    length are read whole.  Rates that have not come to rest are an error.
+    Other columns are not read; an empty table gives an empty one.
     """
     members = settle(memberships(docs, labels, domains, key, text), "memberships")
     chance = F.expr("cast(pmod(xxhash64(doc_id, 29), 1000000007) as double) / 1000000007")
     rate = F.col("rate")
-    return rates(members, domains, budget).select(
+    return rates(members, domains, budget, most_copies).select(
         "doc_id", "tokens", *(F.col(f"p{i}").alias(f"p_{d.name}") for i, d in enumerate(domains)), "rate",
         (F.floor(rate) + (chance < rate - F.floor(rate)).cast("bigint")).alias("copies"),
     )
@@ -195,7 +257,7 @@ def mix(docs: DataFrame, labels: DataFrame, domains: Sequence[Domain] = DOMAINS,
 
 def apply(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, each as many times as its copies."""
-    names = docs.columns
-    copies = mixed.select(F.col("doc_id").alias("mixed_id"), F.col("copies").cast("int").alias("mixed_copies")).where("mixed_copies > 0")
-    joined = docs.join(copies, F.col(key).eqNullSafe(F.col("mixed_id")))
-    return joined.withColumn("mixed_copy", F.explode(F.sequence(F.lit(1), F.col("mixed_copies")))).select(*names)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).alias("id"))
+    copies = mixed.select("doc_id", F.col("copies").cast("int").alias("copies")).where("copies > 0")
+    joined = rows.join(copies, F.col("id").eqNullSafe(F.col("doc_id"))).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return joined.select("row.*")
