@@ -23,8 +23,8 @@ RANGE_ROWS = 100_000
 RANGES = (240, 1 << 16)
 #: Keys drawn for each range.
 DRAWN = 32
-#: A group of copies is subdivided beyond this part of a shard, but not below so many bytes (or a quarter of a shard,
-#: where shards are as small as that), and in any case beyond so many bytes.
+#: A group of copies is subdivided, into parts of this share of a shard, if it is larger than that and than so many bytes
+#: (or a quarter of a shard, where shards are as small as that), and in any case beyond so many bytes.
 PART_OF_SHARD = 1 / 50
 LEAST_PART_BYTES, PART_BYTES = 64 << 10, 64 << 20
 
@@ -77,7 +77,8 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     cut = splitters(rows, ranges, whole_table.bytes)
 
     # Groups of copies, the large ones in parts; a row's part follows from its id.
-    groups = rows.groupBy("key").agg(F.expr(f"cast(ceil(sum(size) / {most}) as int)").alias("parts"))
+    fine = max(1, min(int(whole_table.bytes / shards * PART_OF_SHARD), PART_BYTES))
+    groups = rows.groupBy("key").agg(F.expr(f"cast(IF(sum(size) <= {most}, 1, ceil(sum(size) / {fine})) as int)").alias("parts"))
     parted = settle(
         rows.join(groups, "key").select("doc_id", "key", "size", "text_crc32", F.expr("pmod(xxhash64(doc_id), parts)").alias("part")),
         "shard-parts",
