@@ -158,7 +158,7 @@ def test_quality_rules(docs, doc_rows, no_docs):
     assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == expected
     assert all(not (r.kept and r.base_failed) for r in got)
     assert sum(r.kept for r in got) > 30
-    kept = rules.keep(docs)
+    kept = quality.keep(docs)
     assert kept.schema == docs.schema
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.kept)
     assert quality.judge(no_docs).count() == 0
@@ -190,7 +190,7 @@ def test_kneser_ney_probabilities_equal_a_plain_computation(spark):
     for t in texts:
         padded = "\0" * 4 + t
         counts.update(padded[i : i + 5] for i in range(len(t)))
-    assert {r.gram: r.n for r in ngrams.count_grams(frame).collect()} == counts
+    assert {r.gram: r.n for r in ngrams.count_grams(ngrams.grams_in(frame)).collect()} == counts
     tables = {5: counts}
     for k in (4, 3, 2, 1):
         tables[k] = Counter(g[1:] for g in tables[k + 1])
@@ -207,16 +207,42 @@ def test_kneser_ney_probabilities_equal_a_plain_computation(spark):
             left = sum(cut[min(m, 3)] for m in peers) / sum(peers)
             lower = known[g[1:]] if k > 1 else 1 / (len(peers) + 1)
             known[g] = (n - cut[min(n, 3)]) / sum(peers) + left * lower
-    found, _ = ngrams.probabilities(ngrams.count_grams(frame))
+    found, _ = ngrams.probabilities(ngrams.count_grams(ngrams.grams_in(frame)))
     got = {r.gram: r.value for r in found.collect() if r.gram}
     assert got.keys() == known.keys()
     assert all(abs(np.exp(v) - known[g]) < 1e-9 for g, v in got.items())
-    model = ngrams.Model(*ngrams.hash_arrays(ngrams.count_grams(frame)))
-    assert (np.diff(model.slots.astype(np.int64)) > 0).all()
+    table = ngrams.ModelTable(ngrams.count_grams(ngrams.grams_in(frame)))
+    assert table.parts == 1
+    model = ngrams.Model(*table.part(0))
+    assert (np.diff(model.hashes.astype(object)) > 0).all()
     scores = model.score("en", [texts[0], "", "banana", "zzqz"])
     plain = lambda t: sum(np.log(known[("\0" * 4 + t)[i : i + 5]]) for i in range(len(t)))
     assert abs(scores[0] - plain(texts[0])) < 1e-3 and scores[1] == 0
     assert scores[2] / 6 > scores[3] / 4  # unseen text backs off to less
+    divided = ngrams.ModelTable(ngrams.count_grams(ngrams.grams_in(frame)), part_entries=20)
+    assert divided.parts >= 8
+    parts = [ngrams.Model(*divided.part(i)) for i in range(divided.parts)]
+    assert max(len(p.hashes) for p in parts) < len(model.hashes) / 2
+    assert np.allclose(sum(p.score("en", [texts[0], "", "banana", "zzqz"]) for p in parts), scores)
+
+
+def test_ngrams_never_counted_are_not_found(spark, docs):
+    from larder.llm import ngrams
+
+    named = docs.selectExpr("coalesce(lang, '') AS lang", "coalesce(text, '') AS text")
+    model = ngrams.Model(*ngrams.ModelTable(ngrams.count_grams(ngrams.grams_in(named))).part(0))
+    rng = random.Random(8)
+    unseen = ["".join(rng.choices("QWXYZ0123456789", k=5)) for _ in range(100_000)]
+    for kind, lang in (("p", "en"), ("b", "en"), ("p", "b/en")):
+        assert not model.find(kind, lang, unseen)[1].any()
+
+
+def test_parts_of_the_model_change_no_verdict(spark, docs):
+    whole = {tuple(r[:-3]): r[-3:] for r in quality.Rules(docs).verdicts().collect()}
+    rules = quality.Rules(docs, part_entries=20_000)
+    assert rules.model.parts > 1
+    for r in rules.verdicts().collect():
+        assert np.allclose([v or 0 for v in r[-3:]], [v or 0 for v in whole[tuple(r[:-3])]], rtol=1e-6)
 
 
 def test_many_characters_are_coded_in_parts():
@@ -263,6 +289,23 @@ def library():
     return Tokenizer.from_file(tokenizer())
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_no_group_below_the_bound_is_divided(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = sharding.assign(docs, 24).collect()
+    sizes, places = Counter(), {}
+    for r in got:
+        sizes[text[r.doc_id]] += r["size"]
+        places.setdefault(text[r.doc_id], set()).add(r.shard)
+    bound = sharding.group_bound(sum(sizes.values()), 24)
+    assert all(len(places[t]) == 1 for t, s in sizes.items() if s <= bound)
+    totals = Counter()
+    for r in got:
+        totals[r.shard] += r["size"]
+    assert max(totals.values()) <= sum(sizes.values()) / 24 + max(bound, max(len(t.encode()) + 8 for t in text.values()))
+
+
 def test_bpe_digests(docs, doc_rows, no_docs):
     expected, lib = Counter(), library()
     for d, t, _ in doc_rows:
@@ -348,8 +391,13 @@ def test_rates_meet_the_targets_as_least_squares_do(spark):
     members = spark.createDataFrame(rows, "doc_id long, tokens long, p0 double, p1 double, p2 double, p3 double")
     total = (tokens[:, None] * p).sum(0)
     for shares in ((0.9, 0.04, 0.05, 0.01), (0.0, 0.0, 0.5, 0.5), (0.25, 0.25, 0.25, 0.25)):
-        domains = [mixing.Domain(str(i), 0, 0, float(s / t)) for i, (s, t) in enumerate(zip(shares, total))]
-        rate = np.array([r.rate for r in mixing.rates(members, domains).orderBy("doc_id").collect()])
+        by_weight = [mixing.Domain(str(i), 0, 0, float(s / t)) for i, (s, t) in enumerate(zip(shares, total))]
+        domains = [mixing.Domain(str(i), 0, 0, share=s) for i, s in enumerate(shares)]
+        found = mixing.solution(members, domains)
+        rate = np.array([r.rate for r in found.rates.orderBy("doc_id").collect()])
+        assert np.allclose(rate, [r.rate for r in mixing.rates(members, by_weight).orderBy("doc_id").collect()], atol=1e-6)
+        assert found.converged and found.met == (min(shares) > 0)
+        assert np.allclose([r.reached_tokens for r in found.report().collect()], (tokens[:, None] * p).T @ rate)
         a = (tokens[:, None] * p).T
         target = np.array(shares) * mixing.BUDGET * tokens.sum()
         assert (rate >= 0).all()
@@ -358,12 +406,65 @@ def test_rates_meet_the_targets_as_least_squares_do(spark):
         else:  # not attainable: the plain loop gets no nearer
             x = last = np.ones(300)
             inverse = np.linalg.inv(a @ a.T)
-            for step in range(mixing.STEPS):
+            for step in range(found.steps):
                 ahead = x + step / (step + 3) * (x - last)
                 x, last = np.maximum(0, ahead - a.T @ inverse @ (a @ ahead - target)), x
             assert np.allclose(x, rate, atol=1e-6)
 
 
+def test_a_toxic_third_is_brought_down_to_one_percent(spark):
+    rows = [(i, 100, *((0.95, 0.02, 0.02, 0.01) if i % 3 else (0.03, 0.92, 0.03, 0.02))) for i in range(300)]
+    members = spark.createDataFrame(rows, "doc_id long, tokens long, p0 double, p1 double, p2 double, p3 double")
+    domains = [mixing.Domain("good", 1, 0, weight=1.0), mixing.Domain("good_toxic", 1, 1, share=0.03), mixing.Domain("low", 0, 0, weight=1.0), mixing.Domain("low_toxic", 0, 1, share=0.011)]
+    found = mixing.solution(members, domains, budget=1.0)
+    report = {r.domain: r for r in found.report().collect()}
+    assert report["good_toxic"].target_tokens == pytest.approx(900) and found.converged
+    assert report["good_toxic"].reached_tokens < 0.05 * sum(r.reached_tokens for r in report.values())
+    bounded = mixing.solution(members, domains, budget=1.0, most_copies=1.2)
+    assert max(r.rate for r in bounded.rates.collect()) <= 1.2 and bounded.converged and not bounded.met
+
+
+def test_rates_that_still_move_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    rng = np.random.default_rng(1)
+    rows = [(i, 100, *map(float, rng.dirichlet([0.3, 0.2, 0.2, 0.1]))) for i in range(100)]
+    members = spark.createDataFrame(rows, "doc_id long, tokens long, p0 double, p1 double, p2 double, p3 double")
+    domains = [mixing.Domain(str(i), 0, 0, share=s) for i, s in enumerate((0.0, 0.0, 0.5, 0.5))]
+    assert not mixing.solution(members, domains).converged
+    with pytest.raises(mixing.NotConverged):
+        mixing.rates(members, domains)
+    with pytest.raises(ValueError, match="one"):
+        mixing.rates(members, [mixing.Domain("a", 0, 0, share=0.4)] * 4)
+
+
+def test_posteriors_equal_a_plain_computation(spark):
+    rng = random.Random(6)
+    words = ["Alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    rows = [(i, " ".join(rng.choices(words[i % 2 * 2 :], k=rng.randint(0, 12))), "x") for i in range(60)]
+    known = {i: (i % 2, i % 3 == 0) for i in range(40)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    labels = spark.createDataFrame([(i, q, int(t)) for i, (q, t) in known.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in mixing.memberships(docs, labels).collect()}
+    place = lambda w: xxhash.xxh64_intdigest(w.lower().encode(), 42) % mixing.BUCKETS
+    counts = [Counter() for _ in mixing.DOMAINS]
+    sizes = Counter()
+    which = lambda i: next(k for k, d in enumerate(mixing.DOMAINS) if (d.quality, d.toxic) == (known[i][0], int(known[i][1])))
+    for i, text, _ in rows:
+        if i in known:
+            sizes[which(i)] += 1
+            counts[which(i)].update(place(w) for w in text.split())
+    for i, text, _ in rows:
+        found = [place(w) for w in text.split()]
+        logs = []
+        for k, c in enumerate(counts):
+            prior = np.log((sizes[k] + 1) / (len(known) + 4))
+            each = [np.log((c[b] + mixing.SMOOTHING) / (c.total() + mixing.SMOOTHING * mixing.BUCKETS)) for b in found]
+            logs.append(prior + (mixing.EVIDENCE_WORDS * np.mean(each) if each else 0.0))
+        expected = np.exp(np.array(logs) - max(logs)) / np.exp(np.array(logs) - max(logs)).sum()
+        assert np.allclose([got[i][f"p{k}"] for k in range(4)], expected)
+        assert got[i].tokens == len(found)
+
+
 def test_the_classifier_learns_its_labels(spark):
     rng = np.random.default_rng(2)
     rows = [(i, " ".join(rng.choice(["bad", "worse"] if i % 3 == 0 else ["fine", "good"], 30)), 0) for i in range(300)]

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larder.llm import bpe, exact, simhash
@@ -65,6 +66,12 @@ def test_stages_keep_the_columns_and_take_awkward_rows(spark, docs, no_docs, sma
         result = stage(spark, frame, small_data)
         assert result.columns == frame.columns
         assert result.count() <= 2 * frame.count()
+    clashing = ["digest", "kept_id", "kept_sha256", "first_id", "domain", "mixed_id", "mixed_copies", "row", "held", "lower", "entropy", "id", "text_sha256"]
+    wide = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).select("*", *(F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in clashing))
+    kept = stage(spark, wide, small_data)
+    assert kept.columns == wide.columns
+    rows = kept.collect()
+    assert rows and all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in clashing)
     if number == 1:
         texts = [r.text or "" for r in stage(spark, docs, small_data).collect()]
         assert len(texts) == len(set(texts))
