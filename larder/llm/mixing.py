@@ -28,11 +28,11 @@ SMOOTHING = 1.0
 #: Weight of the mean log-likelihood of a word: a document counts as so many independent words.
 EVIDENCE_WORDS = 60.0
 
-STEPS = 200
+STEPS = 48
 #: Largest miss of a target, as a part of all targets' tokens, at which the rates are as wanted.
 TOLERANCE = 1e-4
-#: Where targets cannot be met, totals that move by less than this from step to step have come to rest.
-REST = 1e-6
+#: Where targets cannot be met, totals that move by less than this in each of so many steps have come to rest.
+REST, REST_STEPS = 1e-5, 3
 #: Steps after which the rates so far are written.
 STRIDE = 8
 
@@ -188,13 +188,15 @@ def solution(members: DataFrame, domains: Sequence[Domain] = DOMAINS, budget: fl
     targets = _targets(domains, [sums[f"h{i}"] for i in numbers], budget * sums["all"])
     scale = max(sum(targets), 1e-300)
     current, pending, before, converged = members.withColumns({"rate": F.lit(1.0), "last_rate": F.lit(1.0)}), [], None, False
+    resting = 0
     for step in range(STEPS + 1):
         moved = _after(current, pending, held, most_copies)
         sums = moved.agg(*(F.coalesce(F.sum(held[i] * F.col("rate")), F.lit(0.0)).alias(f"t{i}") for i in numbers)).first()
         reached = [sums[f"t{i}"] for i in numbers]
         near = max(abs(r - t) for r, t in zip(reached, targets)) <= TOLERANCE * scale
         rests = before is not None and max(abs(r - b) for r, b in zip(reached, before)) <= REST * scale
-        converged = near or rests
+        resting = resting + 1 if rests else 0
+        converged = near or resting >= REST_STEPS
         if converged or step == STEPS:
             break
         # The gradient is taken ahead of the rates, by the momentum; totals are linear in the rates.
@@ -243,15 +245,18 @@ def mix(
     one document, whose tokens add up.  Null text counts as empty; documents
     without tokens keep the rate one.  Labels that are null or name no domain
     are not used; without labels all memberships are equal.  Texts of any
-    length are read whole.  Rates that have not come to rest are an error.
+    length are read whole.  ``converged`` tells whether the rates came to rest
+    (see :func:`solution`, which also reports target and reached tokens).
     Other columns are not read; an empty table gives an empty one.
     """
     members = settle(memberships(docs, labels, domains, key, text), "memberships")
     chance = F.expr("cast(pmod(xxhash64(doc_id, 29), 1000000007) as double) / 1000000007")
     rate = F.col("rate")
-    return rates(members, domains, budget, most_copies).select(
+    found = solution(members, domains, budget, most_copies)
+    return found.rates.select(
         "doc_id", "tokens", *(F.col(f"p{i}").alias(f"p_{d.name}") for i, d in enumerate(domains)), "rate",
         (F.floor(rate) + (chance < rate - F.floor(rate)).cast("bigint")).alias("copies"),
+        F.lit(found.converged).alias("converged"),
     )
 
 
