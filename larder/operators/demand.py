@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import band, half_up, mean_of, ratio, sum_skipping_nulls
 from ..sources.tables import DISCOUNTS
+from .timeline import since
 
 LOW_AVAILABILITY = 0.5
 FULL_AVAILABILITY = 0.95
@@ -372,7 +373,7 @@ def high_risk_skus(
     if as_of is None:
         as_of = panel.agg(F.max("date")).scalar()
     recent = (
-        panel.filter(F.col("date") > F.date_sub(as_of, days))
+        since(panel, F.date_sub(as_of, days - 1))
         .groupBy("unique_id", "warehouse")
         .agg(
             F.avg("sales").alias("velocity"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import sum_skipping_nulls
 from ..sources.tables import DISCOUNTS
-from .timeline import LAG_SHIFT, LAGS, ROLLING_WINDOWS, history_names, with_history
+from .timeline import LAG_SHIFT, LAGS, ROLLING_WINDOWS, history_names, recent_history, since, with_history
 
 HORIZON_DAYS = 28
 CALENDAR_FLAGS = ["holiday", "shops_closed", "winter_school_holidays", "school_holidays"]
@@ -124,24 +124,31 @@ def temporal_split(panel: DataFrame) -> DataFrame:
     return panel.withColumn("split", split_label(F.col("date"), last_day(panel)))
 
 
-def history_and_holdout(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
-    cutoff = F.date_sub(last_day(panel), HORIZON_DAYS - 1)
-    return panel.filter(F.col("date") < cutoff), panel.filter(F.col("date") >= cutoff)
+def history_and_holdout(panel: DataFrame, last: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The days before the last ``HORIZON_DAYS``, and these; ``last`` is the panel's last day unless given."""
+    cutoff = F.date_sub(last_day(panel) if last is None else last, HORIZON_DAYS - 1)
+    return panel.filter(F.col("date") < cutoff), since(panel, cutoff)
 
 
 def leak_audit(
     panel: DataFrame, values: dict[str, Sequence[str]],
     lags: Sequence[int] = LAGS, windows: Sequence[int] = ROLLING_WINDOWS, shift: int = LAG_SHIFT,
+    state: DataFrame | None = None, last: Column | None = None,
 ) -> DataFrame:
     """Count the holdout rows whose features read sales of the holdout; one row per feature.
 
     History features are built together with the latest day that each of them
     reads, through the same windows; all others read no sales.  One pass over
-    the panel's keys and sales.
+    the panel's keys and sales; over its recent periods, with the ``state``
+    carried over from earlier ones.
     """
-    cutoff = F.date_sub(last_day(panel), HORIZON_DAYS - 1)
+    cutoff = F.date_sub(last_day(panel) if last is None else last, HORIZON_DAYS - 1)
     history = history_names(lags, windows, shift)
-    read = with_history(panel.select("unique_id", "date", "sales"), lags, windows, shift, read_days=True).filter(F.col("date") >= cutoff)
+    options = {"lags": lags, "windows": windows, "shift": shift, "read_days": True}
+    if state is None:
+        read = with_history(panel.select("unique_id", "date", "sales"), **options).filter(F.col("date") >= cutoff)
+    else:
+        read = recent_history(panel, state, cutoff, **options)
     names = [*history, *(n for n in feature_columns(values) if n not in HISTORY_FEATURES)]
     leaks = {n: F.count_if(F.col(f"{n}_read") >= F.unix_date(cutoff)) for n in history}
     audited = [

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip, half_even, mean_of, steady_sum
 from .demand import LOW_AVAILABILITY
+from .timeline import since
 
 RECENT_DAYS = 28
 
@@ -25,7 +26,7 @@ def recent_availability(panel: DataFrame, window_end: Column, days: int = RECENT
     """Observed availability per series in the ``days`` before ``window_end``."""
     low = F.col("availability") < LOW_AVAILABILITY
     return (
-        panel.filter((F.col("date") >= F.date_sub(window_end, days)) & (F.col("date") < window_end))
+        since(panel, F.date_sub(window_end, days)).filter(F.col("date") < window_end)
         .groupBy("unique_id")
         .agg(
             mean_of(steady_sum(F.col("availability")), F.count("availability")).alias("recent_availability"),

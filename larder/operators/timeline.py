@@ -23,6 +23,39 @@ LAG_SHIFT = 28
 MIN_ROLLING_DAYS = 7
 
 
+#: Columns that hold the first day of each row's period, where a stored panel is divided by them, and the unit of each.
+PERIODS = {"month_start": "MM", "year_start": "YEAR"}
+
+
+def since(panel: DataFrame, low: Column) -> DataFrame:
+    """Rows from day ``low`` on; of a panel divided by periods, other periods are not read."""
+    for column, unit in PERIODS.items():
+        if column in panel.columns:
+            panel = panel.filter(F.col(column) >= F.trunc(low, unit))
+    return panel.filter(F.col("date") >= low)
+
+
+def last_known(panel: DataFrame) -> DataFrame:
+    """The state that history carries over: unique_id, period and, of each series and period, the last day with known sales."""
+    column = next(c for c in PERIODS if c in panel.columns)
+    known = panel.filter(F.col("sales").isNotNull())
+    return known.groupBy("unique_id", F.col(column).alias("period")).agg(F.max("date").alias("date"), F.max_by("sales", "date").alias("sales"))
+
+
+def recent_history(panel: DataFrame, state: DataFrame, low: Column, **options) -> DataFrame:
+    """:func:`with_history` of the rows from day ``low`` on, without reading the periods that lie further back than any window.
+
+    Of those, ``state`` (from :func:`last_known`) gives the last known sales of
+    each series, which hold until the first row that is read.
+    """
+    lags, windows, shift = options.get("lags", LAGS), options.get("windows", ROLLING_WINDOWS), options.get("shift", LAG_SHIFT)
+    column, unit = next((c, u) for c, u in PERIODS.items() if c in panel.columns)
+    start = F.trunc(F.date_sub(low, max([*lags, *(shift + w for w in windows)])), unit)
+    before = state.filter(F.col("period") < start).groupBy("unique_id").agg(F.max("date").alias("date"), F.max_by("sales", "date").alias("sales"))
+    rows = panel.filter(F.col(column) >= start).select("unique_id", "date", "sales").unionByName(before)
+    return with_history(rows, **options).filter(F.col("date") >= low)
+
+
 def _by_day():
     return Window.partitionBy("unique_id").orderBy("day_no")
 

@@ -352,7 +352,7 @@ for _key, _build in {
     "q13_lost_sales": lambda w: demand.lost_sales(w.panel),
     "q14_coverage_bands": lambda w: demand.coverage_bands(w.panel),
     "q15_churn": lambda w: demand.assortment_churn(w.panel),
-    "q16_high_risk": lambda w: demand.high_risk_skus(w.panel, w.inventory),
+    "q16_high_risk": lambda w: demand.high_risk_skus(w.dated_panel, w.inventory, w.last_day),
     "q17_price_bands": lambda w: demand.price_bands(w.panel),
     "q18_units_per_order": lambda w: demand.units_per_order_trend(w.panel),
     "b01_warehouse_demand": lambda w: demand.warehouse_overview(w.panel),
@@ -415,7 +415,7 @@ def _(w):
 
 @_register("f10_leak_audit")
 def _(w):
-    return features.leak_audit(w.panel, w.one_hot_values)
+    return features.leak_audit(w.dated_panel, w.one_hot_values, state=w.carried, last=w.last_day)
 
 
 @_register("f11_seasonal_naive", "sparse")

@@ -1,9 +1,10 @@
 """A loaded set of tables for one data folder.
 
 The panel is derived once per application and kept as a table in the shared
-folder, bucketed by series: the per-series windows, duplicate checks and
-series aggregates that read it need no shuffle of the panel.  Everything
-smaller is a plain Parquet copy.
+folder, divided by periods of days and, within each, bucketed by series: the
+per-series windows, duplicate checks and series aggregates that read it need no
+shuffle of the panel, and questions about recent days read recent periods only.
+Everything smaller is a plain Parquet copy.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ import hashlib
 import math
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import baselines, boosting, features, quality, replenish, risk
 from ..operators.features import history_and_holdout
+from ..operators.timeline import PERIODS, last_known
 from ..session import settle, shared_folder
 from ..sources import panel as derive
 from ..sources.scan import scan_parquet
@@ -28,6 +30,8 @@ BOOSTING = boosting.BoostingParams()
 # Panel rows per bucket file, and the fewest buckets.
 ROWS_PER_BUCKET = 20_000_000
 FEWEST_BUCKETS = 8
+# Rows of a bucket in a month from which months, not years, divide the panel: smaller files cost more than they save.
+ROWS_PER_MONTH = 200_000
 
 _open: dict[tuple[str, str, str], "Warehouse"] = {}
 _summed: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
@@ -61,15 +65,35 @@ class Warehouse:
         return max(FEWEST_BUCKETS, min(series, math.ceil(rows / ROWS_PER_BUCKET)))
 
     @cached_property
-    def panel(self) -> DataFrame:
+    def _derived(self) -> DataFrame:
+        return settle(derive.panel_of(*self._lines, self.grain), "derived-panel")
+
+    @cached_property
+    def _facts(self) -> Row:
+        """Rows, series, months and last day of the panel, known since it was loaded."""
+        by_series = self._derived.groupBy("unique_id").agg(F.count("*").alias("n"), F.min("date").alias("low"), F.max("date").alias("high"))
+        months = F.months_between(F.trunc(F.max("high"), "MM"), F.trunc(F.min("low"), "MM")) + 1
+        return by_series.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("series"), F.coalesce(months, F.lit(1.0)).cast("int").alias("months"),
+            F.max("high").alias("last_day")).first()
+
+    @cached_property
+    def last_day(self) -> Column:
+        return F.lit(self._facts.last_day).cast("date")
+
+    @cached_property
+    def dated_panel(self) -> DataFrame:
+        """The panel with the column of its periods (see ``timeline.PERIODS``)."""
         # One name for each data folder and grain: a later application replaces the table, none pile up.
         name = f"larder_panel_{self.grain}_{hashlib.sha256(self.sf_dir.encode()).hexdigest()[:32]}"
-        derived = settle(derive.panel_of(*self._lines, self.grain), "derived-panel")
-        size = derived.groupBy("unique_id").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.count("*").alias("series")).first()
-        buckets = self._buckets(size.rows, size.series)
+        facts = self._facts
+        buckets = self._buckets(facts.rows, facts.series)
+        period = "month_start" if facts.rows / buckets / facts.months >= ROWS_PER_MONTH else "year_start"
         (
-            derived.repartition(buckets, "unique_id")
-            .write.bucketBy(buckets, "unique_id")
+            self._derived.withColumn(period, F.trunc("date", PERIODS[period]))
+            .repartition(buckets, "unique_id")
+            .write.partitionBy(period)
+            .bucketBy(buckets, "unique_id")
             .sortBy("unique_id", "date")
             .mode("overwrite")
             .option("path", f"{shared_folder(self.spark)}/{name}")
@@ -77,6 +101,15 @@ class Warehouse:
         )
         return self.spark.table(name)
 
+    @cached_property
+    def panel(self) -> DataFrame:
+        return self.dated_panel.select(*TABLES["sales_train"].columns)
+
+    @cached_property
+    def carried(self) -> DataFrame:
+        """Last known sales of each series and period; with it, recent history needs recent periods only."""
+        return settle(last_known(self.dated_panel), "carried-state")
+
     @cached_property
     def inventory(self) -> DataFrame:
         return settle(derive.derive_inventory(self.panel, self.grain), "inventory")
@@ -97,7 +130,8 @@ class Warehouse:
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return history_and_holdout(self.panel)
+        columns = TABLES["sales_train"].columns
+        return tuple(part.select(*columns) for part in history_and_holdout(self.dated_panel, self.last_day))
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -116,7 +150,7 @@ class Warehouse:
         return settle(self.moving_average(), "forecasts")
 
     def availability(self) -> DataFrame:
-        return risk.recent_availability(self.panel, self.forecasts.agg(F.min("date")).scalar())
+        return risk.recent_availability(self.dated_panel, self.forecasts.agg(F.min("date")).scalar())
 
     def score_risk(self) -> DataFrame:
         scored = risk.stockout_risk(self.forecasts, self.availability())

@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from larder.operators import boosting, features, trees
+from larder.operators import boosting, demand, features, risk, timeline, trees
 from larder.plans import batch
 from larder.plans.warehouse import open_warehouse
 from larder.session import settle, shared_folder
@@ -171,6 +171,46 @@ def test_series_windows_read_the_panel_without_a_shuffle(spark, small_data):
     assert "Exchange" not in plan
 
 
+def test_recent_questions_read_recent_periods(spark, small_data):
+    """Partition filters in the plan, no shuffle where none is due, and the values of the whole panel."""
+    w = open_warehouse(spark, small_data, "dense")
+    start = F.date_sub(w.last_day, 27)
+    pairs = {
+        "q16": (demand.high_risk_skus(w.dated_panel, w.inventory, w.last_day, min_velocity=0), demand.high_risk_skus(w.panel, w.inventory, min_velocity=0)),
+        "r01": (risk.recent_availability(w.dated_panel, start), risk.recent_availability(w.panel, start)),
+        "m07": (w.split[1], w.panel.filter(F.col("date") >= start)),
+        "history": (timeline.recent_history(w.dated_panel, w.carried, start), features.with_history(w.panel.select("unique_id", "date", "sales")).filter(F.col("date") >= start)),
+    }
+    for name, (pruned, whole) in pairs.items():
+        plan = pruned._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(" in plan, name
+        assert sorted(map(tuple, pruned.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str) != [], name
+        if name in ("r01", "m07"):
+            assert "Exchange" not in plan, name
+    scanned = pairs["m07"][0]
+    scanned.collect()
+    assert len(scanned.inputFiles()) <= len(w.panel.inputFiles())
+
+
+def test_carried_state_stands_for_the_history_before(frame):
+    import random
+
+    rng = random.Random(4)
+    for trial in range(6):
+        first = date(2021, 1, 1).toordinal()
+        rows = [
+            (s, date.fromordinal(first + i), None if rng.random() < 0.3 else float(rng.randint(0, 9)))
+            for s in range(4) for i in sorted(rng.sample(range(900), 900 if s == 0 else 12 * s))
+        ]
+        panel = frame(rows, "unique_id long, date date, sales double")
+        low = F.lit(date.fromordinal(first + 600 + 40 * trial))
+        whole = timeline.with_history(panel).filter(F.col("date") >= low)
+        for column, unit in timeline.PERIODS.items():
+            dated = panel.withColumn(column, F.trunc("date", unit))
+            recent = timeline.recent_history(dated, timeline.last_known(dated), low)
+            assert sorted(map(tuple, recent.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
 def test_boosting_trains_before_the_holdout_only(spark, frame):
     start = date(2024, 1, 1).toordinal()
     rows = [
