@@ -35,7 +35,7 @@ PART_ENTRIES = 8 << 20
 #: Languages up to which tables with one row a language are sent to every task.
 LANGUAGES = 1_000
 #: Bytes of text that a task counts or scores at a time.
-SLICE = 4 << 20
+SLICE = 2 << 20
 SEED = 42
 #: Distinct characters that a code of ORDER characters in 64 bits has room for.
 ALPHABET = 7_000

@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,7 +137,9 @@ class Rules:
         self.model = ModelTable(counts, part_entries)
         said = [F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(text, F.lit("")).alias("text")]
         self.held = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if whole else F.col(key)
-        self.scored = settle(self._scored(docs.select(self.held.alias("held"), *said)), "quality-scores")
+        # Whole rows hold language and text already: these are not sent to the tasks a second time.
+        self.names = (lang, text) if whole else None
+        self.scored = settle(self._scored(docs.select(self.held.alias("held"), *([] if whole else said))), "quality-scores")
         for number in range(1, self.model.parts):
             more = self._partial(docs.select(*said), number).groupBy("lang", "digest").agg(F.min("part_sum").alias("part_sum"))
             joined = self.scored.join(more, ["lang", "digest"])
@@ -146,10 +149,20 @@ class Rules:
     def _scored(self, docs: DataFrame) -> DataFrame:
         """What is held of each row, its counts, and the sum of log-probabilities from the model's first part."""
         model = docs.sparkSession.sparkContext.broadcast(self.model.part(0))
+        names = self.names
+
+        def said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if names is None:
+                    yield batch
+                else:
+                    held = batch.column("held")
+                    parts = [pc.fill_null(pc.struct_field(held, [name]), "") for name in names]
+                    yield pa.RecordBatch.from_arrays([held, *parts], ["held", "lang", "text"])
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = Model(*model.value)
-            for batch in slices(batches, most=SLICE):
+            for batch in slices(said(batches), most=SLICE):
                 texts = batch.column("text").to_pylist()
                 counts = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, len(_COUNTS))
                 failed = [fails_base(n, r) for n, r in counts[:, [0, 4]].tolist()]
@@ -158,7 +171,7 @@ class Rules:
                 yield pa.RecordBatch.from_arrays(columns, ["held", "lang", *_COUNTS, "base_failed", "n_chars", "log_sum", "digest"])
 
         added = ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in _COUNTS)
-        schema = docs.selectExpr("held", "lang", *added.split(", "), "false AS base_failed", "0L AS n_chars", "0D AS log_sum", "CAST('' AS BINARY) AS digest").schema
+        schema = docs.selectExpr("held", "'' AS lang", *added.split(", "), "false AS base_failed", "0L AS n_chars", "0D AS log_sum", "CAST('' AS BINARY) AS digest").schema
         return docs.mapInArrow(task, schema)
 
     def _partial(self, docs: DataFrame, number: int) -> DataFrame:
