@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,20 +89,43 @@ def _counts(rules: Mapping[str, str]) -> str:
     return f"CAST(map({pairs}) AS MAP<STRING, BIGINT>)"
 
 
-def table_profile(df: DataFrame) -> DataFrame:
-    """Row count, nulls per column and rule violations, in one aggregate."""
-    impossible = {
-        rule: test.format(f"`{column}`") for rule, (column, test) in _IMPOSSIBLE.items() if column in df.columns
-    }
-    outliers = {
-        f"{c}_outside_0_1": f"`{c}` < 0 OR `{c}` > 1" for c in df.columns if c.endswith("_discount")
-    }
-    return df.agg(
+def _rules(columns: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+    """Conditions of impossible values and of outliers that apply to these columns."""
+    impossible = {rule: test.format(f"`{column}`") for rule, (column, test) in _IMPOSSIBLE.items() if column in columns}
+    outliers = {f"{c}_outside_0_1": f"`{c}` < 0 OR `{c}` > 1" for c in columns if c.endswith("_discount")}
+    return impossible, outliers
+
+
+def _profile_columns(columns: list[str]) -> list[Column]:
+    impossible, outliers = _rules(columns)
+    return [
         F.expr("count(1) AS n_rows"),
-        F.expr(_counts({c: f"`{c}` IS NULL" for c in df.columns}) + " AS nulls"),
+        F.expr(_counts({c: f"`{c}` IS NULL" for c in columns}) + " AS nulls"),
         F.expr(_counts(impossible) + " AS impossible"),
         F.expr(_counts(outliers) + " AS outliers"),
-    )
+    ]
+
+
+def table_profile(df: DataFrame) -> DataFrame:
+    """Row count, nulls per column and rule violations, in one aggregate."""
+    return df.agg(*_profile_columns(df.columns))
+
+
+def profiles_by(df: DataFrame, part: str) -> DataFrame:
+    """The profile of each part of a table; profiles of parts merge by :func:`merged_profile`."""
+    columns = [c for c in df.columns if c != part]
+    return df.groupBy(part).agg(*_profile_columns(columns))
+
+
+def merged_profile(profiles: DataFrame, columns: list[str]) -> DataFrame:
+    """The profile of a table from those of its parts; ``columns`` are the table's."""
+    impossible, outliers = _rules(columns)
+    wanted = {"nulls": columns, "impossible": impossible, "outliers": outliers}
+    sums = []
+    for kind, names in wanted.items():
+        pairs = ", ".join(f"'{name}', coalesce(sum({kind}['{name}']), 0L)" for name in names)
+        sums.append(F.expr(f"CAST(map({pairs}) AS MAP<STRING, BIGINT>) AS {kind}"))
+    return profiles.agg(F.expr("coalesce(sum(n_rows), 0L) AS n_rows"), *sums)
 
 
 _SHARE = "CAST(round(CAST({0} / nullif(n_rows, 0) AS DECIMAL(38, 12)), 6) AS DOUBLE)"
@@ -200,21 +223,22 @@ def numeric_evidence(df: DataFrame, spec: TableSpec, max_outlier_share: float =
 # --- keys --------------------------------------------------------------------
 
 
-def duplicate_evidence(df: DataFrame, key: list[str]) -> DataFrame:
-    """Rows in key groups of more than one row, and the number of such groups."""
-    copies = df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    return copies.agg(
+def duplicates_among(copies: DataFrame) -> DataFrame:
+    """Rows in key groups of more than one row, and the number of such groups, from the copies of each key."""
+    return copies.filter(F.col("copies") > 1).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("duplicate_rows"),
         F.count(F.lit(1)).alias("duplicate_key_groups"),
     )
 
 
-def duplicate_check(df: DataFrame, spec: TableSpec) -> DataFrame:
-    if not spec.key:
-        note = F.to_json(F.struct(F.lit("no business key declared").alias("skipped")))
-        return df.sparkSession.range(1).select(*_result("duplicates", spec.name, F.lit(PASS), note))
+def duplicate_evidence(df: DataFrame, key: list[str]) -> DataFrame:
+    """Rows in key groups of more than one row, and the number of such groups."""
+    return duplicates_among(df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")))
+
+
+def duplicate_result(evidence: DataFrame, spec: TableSpec) -> DataFrame:
     details = F.struct(_texts(list(spec.key)).alias("key"), "duplicate_rows", "duplicate_key_groups")
-    return duplicate_evidence(df, list(spec.key)).select(
+    return evidence.select(
         *_result(
             "duplicates",
             spec.name,
@@ -224,6 +248,21 @@ def duplicate_check(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def skipped(spark: SparkSession, check: str, spec: TableSpec, reason: str) -> DataFrame:
+    """The passing row of a check that does not apply to a table."""
+    note = F.to_json(F.struct(F.lit(reason).alias("skipped")))
+    return spark.range(1).select(*_result(check, spec.name, F.lit(PASS), note))
+
+
+NO_KEY, NO_DATE = "no business key declared", "no date column"
+
+
+def duplicate_check(df: DataFrame, spec: TableSpec) -> DataFrame:
+    if not spec.key:
+        return skipped(df.sparkSession, "duplicates", spec, NO_KEY)
+    return duplicate_result(duplicate_evidence(df, list(spec.key)), spec)
+
+
 # --- dates -------------------------------------------------------------------
 
 
@@ -285,12 +324,19 @@ def missing_dates(df: DataFrame, group: str) -> DataFrame:
     return stretches.select(F.col("group_value").alias(group), F.explode(between).alias("date"))
 
 
+def date_group(columns: list[str]) -> str | None:
+    """The column whose groups must each have a day after another."""
+    return "warehouse" if "warehouse" in columns else None
+
+
 def date_continuity_check(df: DataFrame, spec: TableSpec) -> DataFrame:
     if "date" not in df.columns:
-        note = F.to_json(F.struct(F.lit("no date column").alias("skipped")))
-        return df.sparkSession.range(1).select(*_result("date_continuity", spec.name, F.lit(PASS), note))
-    group = "warehouse" if "warehouse" in df.columns else None
-    gaps = date_continuity_evidence(df, group)
+        return skipped(df.sparkSession, "date_continuity", spec, NO_DATE)
+    return date_continuity_result(day_bitmaps(df, date_group(df.columns)), spec)
+
+
+def date_continuity_result(state: DataFrame, spec: TableSpec) -> DataFrame:
+    gaps = date_continuity_of(state)
     # Groups are warehouses: a collected map of them is small.
     entry = F.when(F.col("missing_days") > 0, F.struct("group_value", "missing_days"))
     report = gaps.agg(
@@ -311,35 +357,50 @@ def date_continuity_check(df: DataFrame, spec: TableSpec) -> DataFrame:
 # --- cross-table -------------------------------------------------------------
 
 
-def unknown_keys(df: DataFrame, key: str, known: DataFrame, known_key: str | None = None) -> DataFrame:
+def unknown_keys(
+    df: DataFrame, key: str, known: DataFrame, known_key: str | None = None, rows: Column | None = None
+) -> DataFrame:
     """Keys of ``df`` absent from ``known``, with their row counts.
 
     Rows are counted per key before the anti join, so a frequent key is one
     row.  A NULL key is unknown unless the known set holds a NULL as well.
+    ``rows`` is the number of rows that a row of ``df`` stands for.
     """
-    counted = df.groupBy(F.col(key).alias("key_value")).agg(F.count(F.lit(1)).alias("n_rows"))
+    count = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    counted = df.groupBy(F.col(key).alias("key_value")).agg(count.alias("n_rows"))
     reference = known.select(F.col(known_key or key).alias("known_value")).distinct()
     return counted.join(reference, F.col("key_value").eqNullSafe(F.col("known_value")), "left_anti")
 
 
-def reference_evidence(df: DataFrame, key: str, known: DataFrame, known_key: str | None = None) -> DataFrame:
-    """Number of rows with an unknown key and the ten smallest such keys."""
-    unknown = unknown_keys(df, key, known, known_key)
-    smallest = (
-        unknown.filter(F.col("key_value").isNotNull())
-        .orderBy("key_value")
-        .limit(EXAMPLES)
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("key_value")), lambda k: k.cast("string")), ","))
-        .scalar()
-    )
-    return unknown.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("unknown_key_rows")).select(
-        "unknown_key_rows", smallest.alias("unknown_key_examples")
+#: Groups in which unknown keys are ranked for the examples.
+EXAMPLE_GROUPS = 256
+
+
+def reference_evidence(
+    df: DataFrame, key: str, known: DataFrame, known_key: str | None = None, rows: Column | None = None
+) -> DataFrame:
+    """Number of rows with an unknown key and the ten smallest such keys.
+
+    The ten smallest keys of each of 256 hash groups reach the one aggregate,
+    so its state is bounded and the keys are held against the known ones once.
+    """
+    unknown = unknown_keys(df, key, known, known_key, rows)
+    group = F.pmod(F.xxhash64("key_value"), F.lit(EXAMPLE_GROUPS))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.col("key_value").asc_nulls_last()))
+    ranked = unknown.withColumn("place", place)
+    kept = F.collect_list(F.when(F.col("place") <= EXAMPLES, F.col("key_value")))  # nulls are not collected
+    smallest = F.slice(F.array_sort(kept), 1, EXAMPLES)
+    return ranked.agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("unknown_key_rows"),
+        F.array_join(F.transform(smallest, lambda k: k.cast("string")), ",").alias("unknown_key_examples"),
     )
 
 
-def referential_check(df: DataFrame, spec: TableSpec, key: str, known: DataFrame, known_name: str) -> DataFrame:
+def referential_check(
+    df: DataFrame, spec: TableSpec, key: str, known: DataFrame, known_name: str, rows: Column | None = None
+) -> DataFrame:
     """Every key must exist in the referenced table."""
-    return reference_evidence(df, key, known).select(
+    return reference_evidence(df, key, known, rows=rows).select(
         *_result(
             f"referential_{key}->{known_name}",
             spec.name,
@@ -349,9 +410,11 @@ def referential_check(df: DataFrame, spec: TableSpec, key: str, known: DataFrame
     )
 
 
-def coverage_check(df: DataFrame, spec: TableSpec, key: str, known: DataFrame, known_name: str) -> DataFrame:
+def coverage_check(
+    df: DataFrame, spec: TableSpec, key: str, known: DataFrame, known_name: str, rows: Column | None = None
+) -> DataFrame:
     """Keys nobody refers to are worth a warning, not a failure."""
-    return reference_evidence(df, key, known).select(
+    return reference_evidence(df, key, known, rows=rows).select(
         *_result(
             f"coverage_{key}_not_in_{known_name}",
             spec.name,
@@ -369,33 +432,46 @@ def coverage_check(df: DataFrame, spec: TableSpec, key: str, known: DataFrame, k
 # --- reports -----------------------------------------------------------------
 
 
+def profile_results(profile: DataFrame, spec: TableSpec) -> DataFrame:
+    """The missingness and numeric-sanity rows of a profile at the standard limits."""
+    return _profile_results(profile, spec, MAX_NULL_SHARE, MAX_OUTLIER_SHARE)
+
+
+def union_of(parts: list[DataFrame]) -> DataFrame:
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
+    return report
+
+
 def table_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The five checks of one table; nulls and numeric rules share a pass."""
-    parts = [
+    return union_of([
         schema_check(df, spec),
-        _profile_results(table_profile(df), spec, MAX_NULL_SHARE, MAX_OUTLIER_SHARE),
+        profile_results(table_profile(df), spec),
         duplicate_check(df, spec),
         date_continuity_check(df, spec),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    ])
+
+
+# The column that ties the tables together, and who refers to whom.
+REFERENCE = "unique_id"
+REFERRING, REFERRED, COVERED_BY = ("sales_train", "sales_test", "test_weights"), "inventory", "sales_train"
+
+
+def reference_checks(
+    tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], rows: Column | None = None
+) -> list[DataFrame]:
+    """Three referential checks and one coverage check; ``rows`` as in :func:`unknown_keys`."""
+    known = tables[REFERRED]
+    checks = [referential_check(tables[name], specs[name], REFERENCE, known, REFERRED, rows) for name in REFERRING]
+    return [*checks, coverage_check(known, specs[REFERRED], REFERENCE, tables[COVERED_BY], COVERED_BY, rows)]
 
 
 def full_report(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
     """Five checks per table, three referential checks and one coverage check."""
-    report = None
-    for name, spec in specs.items():
-        checks = table_checks(tables[name], spec)
-        report = checks if report is None else report.unionByName(checks)
-    for name in ("sales_train", "sales_test", "test_weights"):
-        report = report.unionByName(
-            referential_check(tables[name], specs[name], "unique_id", tables["inventory"], "inventory")
-        )
-    return report.unionByName(
-        coverage_check(tables["inventory"], specs["inventory"], "unique_id", tables["sales_train"], "sales_train")
-    )
+    checks = [table_checks(tables[name], spec) for name, spec in specs.items()]
+    return union_of(checks + reference_checks(tables, specs))
 
 
 def severity(status: Column) -> Column:
