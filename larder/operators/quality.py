@@ -111,10 +111,10 @@ def table_profile(df: DataFrame) -> DataFrame:
     return df.agg(*_profile_columns(df.columns))
 
 
-def profiles_by(df: DataFrame, part: str) -> DataFrame:
-    """The profile of each part of a table; profiles of parts merge by :func:`merged_profile`."""
+def profiles_by(df: DataFrame, part: str, *more: Column) -> DataFrame:
+    """The profile of each part of a table, with further aggregates; profiles merge by :func:`merged_profile`."""
     columns = [c for c in df.columns if c != part]
-    return df.groupBy(part).agg(*_profile_columns(columns))
+    return df.groupBy(part).agg(*_profile_columns(columns), *more)
 
 
 def merged_profile(profiles: DataFrame, columns: list[str]) -> DataFrame:
@@ -270,16 +270,17 @@ def duplicate_check(df: DataFrame, spec: TableSpec) -> DataFrame:
 BITMAP_DAYS = 32_768
 
 
-def day_bitmaps(df: DataFrame, group: str | None = None) -> DataFrame:
+def day_bitmaps(df: DataFrame, group: str | None = None, *parts: str) -> DataFrame:
     """group_value, stretch, first and last date and one bit a day: a state of fixed size that merges by OR.
 
-    Rows without a date or a group have no state.
+    Rows without a date or a group have no state.  With ``parts``, columns of
+    ``df``, each part of the table has states of its own.
     """
     label = F.col(group) if group else F.lit("all")
     days = df.filter(F.col("date").isNotNull())
     days = days.filter(F.col(group).isNotNull()) if group else days
     number = F.unix_date("date")
-    return days.groupBy(label.alias("group_value"), F.floor(number / BITMAP_DAYS).alias("stretch")).agg(
+    return days.groupBy(*parts, label.alias("group_value"), F.floor(number / BITMAP_DAYS).alias("stretch")).agg(
         F.min("date").alias("min_date"), F.max("date").alias("max_date"),
         F.bitmap_construct_agg(F.pmod(number, F.lit(BITMAP_DAYS)).cast("bigint")).alias("days"),
     )

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..sources.artifacts import append_manifest, manifest_row, write_artifact
 from ..sources.tables import TABLES
+from . import file_states
+from .file_states import FileStates, refresh_all
 
 BATCH_SCHEMA = "question string, n_rows long, status string, error string"
 #: Questions that run at the same time, and seconds after which one is cancelled.
@@ -110,15 +112,33 @@ def require_success(batch: DataFrame) -> None:
 
 def run_gate(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, strict: bool = True) -> DataFrame:
     """Check all tables, keep the report and a manifest row, stop on failure."""
-    write_artifact(quality.full_report(tables, TABLES), f"{folder}/report", mode="overwrite")
+    return _judge(spark, quality.full_report(tables, TABLES), folder, strict)
+
+
+def run_gate_on_files(spark: SparkSession, paths: Mapping[str, str], folder: str, strict: bool = True) -> DataFrame:
+    """The same gate over Parquet folders that grow: only files it has not seen are read.
+
+    ``paths`` has the folder of each declared table.  What earlier runs found
+    stands in ``folder/states``; files without change are not read again.
+    """
+    states = {name: FileStates(spark, TABLES[name], f"{folder}/states/{name}") for name in TABLES}
+    read = refresh_all(states, paths)
+    return _judge(spark, file_states.full_report(states, paths), folder, strict, sum(map(len, read.values())))
+
+
+def _judge(spark: SparkSession, checks: DataFrame, folder: str, strict: bool, files_read: int | None = None) -> DataFrame:
+    write_artifact(checks, f"{folder}/report", mode="overwrite")
     report = spark.read.parquet(f"{folder}/report")
     verdict = quality.overall(report)
     summary = verdict.first()
+    counts = {"checks": summary.n_pass + summary.n_warn + summary.n_fail}
+    if files_read is not None:
+        counts["files_read"] = files_read
     append_manifest(
         manifest_row(
             spark,
             "validation",
-            {"checks": summary.n_pass + summary.n_warn + summary.n_fail},
+            counts,
             {"report": f"{folder}/report"},
             summary.overall,
             f"{summary.n_pass} pass, {summary.n_warn} warn, {summary.n_fail} fail",

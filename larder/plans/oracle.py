@@ -453,6 +453,7 @@ _dense(
     *_report(),
 )
 _dense("v09_gate", "SELECT status, count(*) AS n_checks FROM report GROUP BY status", *_report())
+_dense("v09b_gate_on_files", "SELECT * FROM report", *_report())
 _dense("d07_quality_exceptions", "SELECT * FROM report WHERE status <> 'PASS'", *_report())
 
 # --- demand questions ----------------------------------------------------------
