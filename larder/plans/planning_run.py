@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import baselines, boosting, features, replenish, risk, scoring, whatif
-from ..sources import artifacts, load
+from ..sources import artifacts, layout, load
+from ..sources.layout import Layout
 from ..sources.scan import scan_csv
 from ..sources.tables import TABLES
 from .batch import run_gate
@@ -45,8 +46,8 @@ class PlanningRun:
     def _table(self, name: str) -> DataFrame:
         return load.loaded_table(self.spark, self._path(f"tables/{name}"))
 
-    def _keep(self, stage: str, output: DataFrame, inputs: dict[str, int] | None = None) -> int:
-        rows = artifacts.write_artifact(output, self._path(stage), mode="overwrite")
+    def _keep(self, stage: str, output: DataFrame, inputs: dict[str, int] | None = None, order: Layout | None = None) -> int:
+        rows = artifacts.write_artifact(output, self._path(stage), mode="overwrite", layout=order)
         row = artifacts.manifest_row(
             self.spark, stage, {**(inputs or {}), "rows": rows}, {stage: self._path(stage)}, "PASS"
         )
@@ -78,12 +79,12 @@ class PlanningRun:
         baselines.check_history(history)
         self._keep("profile", baselines.series_profile(history))
         profile, dates = self._read("profile"), baselines.horizon_dates(holdout)
-        self._keep("forecasts/seasonal_naive_7", baselines.seasonal_naive(profile, dates, holdout))
-        self._keep("forecasts/moving_average_28", baselines.moving_average(profile, dates, holdout))
+        self._keep("forecasts/seasonal_naive_7", baselines.seasonal_naive(profile, dates, holdout), order=layout.FORECASTS)
+        self._keep("forecasts/moving_average_28", baselines.moving_average(profile, dates, holdout), order=layout.FORECASTS)
 
     def forecast_boosted(self) -> boosting.BoostedForecast:
         fitted = boosting.boosted_forecast(self._read("features"), self._table("inventory"), self.boosting_params)
-        self._keep("forecasts/boosted_trees", fitted.predictions, {"rounds": fitted.rounds})
+        self._keep("forecasts/boosted_trees", fitted.predictions, {"rounds": fitted.rounds}, layout.FORECASTS)
         return fitted
 
     def evaluate(self, models: Sequence[str]) -> None:
@@ -97,8 +98,8 @@ class PlanningRun:
         forecasts, inventory = self._read(f"forecasts/{model}"), self._table("inventory")
         start = forecasts.agg(F.min("date")).scalar()
         seen = risk.recent_availability(self._table("sales_train"), start)
-        self._keep("risk", risk.with_product(risk.stockout_risk(forecasts, seen), inventory))
-        self._keep("recommendations", replenish.recommendations(self._read("risk")))
+        self._keep("risk", risk.with_product(risk.stockout_risk(forecasts, seen), inventory), order=layout.RISK)
+        self._keep("recommendations", replenish.recommendations(self._read("risk")), order=layout.RECOMMENDATIONS)
         whatif.identity_gate(self._read("risk")).collect()
         simulated = whatif.apply_scenarios(self._read("risk"), self.scenarios)
         self._keep("simulation", simulated)

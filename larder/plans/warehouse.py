@@ -20,6 +20,7 @@ from ..operators import baselines, boosting, features, quality, replenish, risk
 from ..operators.features import history_and_holdout
 from ..operators.timeline import PERIODS, last_known
 from ..session import settle, shared_folder
+from ..sources import layout
 from ..sources import panel as derive
 from ..sources.scan import scan_parquet
 from ..sources.tables import ORDER_TABLES, TABLES
@@ -147,7 +148,7 @@ class Warehouse:
 
     @cached_property
     def forecasts(self) -> DataFrame:
-        return settle(self.moving_average(), "forecasts")
+        return settle(self.moving_average(), "forecasts", layout.FORECASTS)
 
     def availability(self) -> DataFrame:
         return risk.recent_availability(self.dated_panel, self.forecasts.agg(F.min("date")).scalar())
@@ -158,11 +159,11 @@ class Warehouse:
 
     @cached_property
     def risk(self) -> DataFrame:
-        return settle(self.score_risk(), "risk")
+        return settle(self.score_risk(), "risk", layout.RISK)
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return settle(replenish.recommendations(self.risk), "recommendations")
+        return settle(replenish.recommendations(self.risk), "recommendations", layout.RECOMMENDATIONS)
 
     @cached_property
     def one_hot_values(self) -> dict[str, list[str]]:

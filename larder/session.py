@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.layout import Layout
+
 _attempt = itertools.count()
 _local_scratch: dict[str, str] = {}
 
@@ -53,14 +55,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{configured.rstrip('/')}/{context.applicationId}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, layout: Layout | None = None) -> DataFrame:
     """Write a frame once to the shared folder and continue from the copy.
 
     For results that several plans read, or that one plan reads twice: the
     work is done once, later readers still prune columns and push filters
-    down, and a lost executor costs nothing but the running tasks.
+    down, and a lost executor costs nothing but the running tasks.  A result
+    that is looked up by single values has a layout.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{next(_attempt)}"
-    df.write.parquet(path)
+    if layout is None:
+        df.write.parquet(path)
+    else:
+        layout.options(layout.arranged(df).write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import __version__
+from .layout import Layout
 from .scan import lower_case_columns
 
 MANIFEST_SCHEMA = (
@@ -23,10 +24,13 @@ class MissingArtifact(FileNotFoundError):
     """An upstream stage has not produced its output yet."""
 
 
-def write_artifact(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
-    """Write a stage output; its row count is observed while writing."""
+def write_artifact(df: DataFrame, path: str, mode: str = "errorifexists", layout: Layout | None = None) -> int:
+    """Write a stage output, in a layout if it is looked up; its row count is observed while writing."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode).parquet(path)
+    # Observed after rows are arranged: drawing the bounds of the ranges would count them once more.
+    rows = df if layout is None else layout.arranged(df)
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode)
+    (writer if layout is None else layout.options(writer)).parquet(path)
     return int(seen.get["n_rows"])
 
 
